@@ -98,8 +98,8 @@ def _triggers(h: Hashes, n: int) -> np.ndarray:
         width *= 2
     if m < 2 * NEAR + 1:
         return np.zeros(0, np.int64)
-    here = roll[NEAR : m - NEAR]
-    return np.flatnonzero((here < low[: len(here)]) & (here <= low[NEAR + 1 : NEAR + 1 + len(here)])) + NEAR
+    here = roll[NEAR : m - NEAR]  # ties count, so that text of a short period has a trigger in each
+    return np.flatnonzero((here <= low[: len(here)]) & (here <= low[NEAR + 1 : NEAR + 1 + len(here)])) + NEAR
 
 
 def _piece(raw: np.ndarray) -> tuple[np.ndarray, ...]:
