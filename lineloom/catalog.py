@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from lineloom.plans import core, entities, positional, records, relational, stream
+from lineloom.plans.base import QUERIES, SQL
+
 FLAGSHIP = "literal_evidence"
+PLANS = (core, positional, entities, records, relational, stream)
+__all__ = ["FLAGSHIP", "PLANS", "QUERIES", "SQL"]
