@@ -17,8 +17,10 @@ left open:
    occurs once ends it: none of the block's windows repeats.
 2. The block's *span*, the bytes that any of its windows has, is named. Equal spans
    have equal windows, so a span that occurs again makes the whole block repeated.
-3. Where spans with a common core differ, single windows are named by 128 bits, one
-   block standing for all with its span.
+3. Where spans with a common core differ, one block stands for all with its span. It
+   is cut into quarters by the distance of the window start from the trigger, and
+   cores and spans of the quarters are named in the same way.
+4. What the quarters leave open is told window by window, with names of 128 bits.
 
 Windows too far from any trigger (long runs of one byte, say) are blocks of one
 window. Repeated windows are then marked, and their bytes removed.
@@ -26,7 +28,9 @@ window. Repeated windows are then marked, and their bytes removed.
 Scale. Rows are blocks (one in about 65 bytes), not positions. Groups are counted by
 aggregations with partial sums and joined back in a way that adaptive execution can
 split, so a core that a third of all documents share burdens no single task; lists
-are per document and bounded by its length. Long texts are parsed in pieces with
+are per document and bounded by its length. Only texts with a repeated core are read
+again; their keys prune the scan by broadcast if there are at most ``KEYS`` of them,
+and by a join otherwise. Long texts are parsed in pieces with
 overlap.
 """
 
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import cut
 
-WIDTH, NEAR, ROLL, REACH, PIECE, MARGIN = 400, 32, 16, 240, 1 << 20, 1024
+WIDTH, NEAR, ROLL, REACH, QUARTER, PIECE, MARGIN, KEYS = 400, 32, 16, 239, 52, 1 << 20, 1024, 1_000_000
 _rng = np.random.default_rng(400)
 _BYTE = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + _rng.integers(0, 2, (2, 256), dtype=np.uint64)
 _BASE = [0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1]
@@ -144,15 +148,41 @@ def _starts(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return block, first[block] + np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)
 
 
+def _pieces(raw: bytes, at: np.ndarray) -> Iterator[tuple[np.ndarray, Hashes, int]]:
+    """Which of some places in a text lie in each piece of it, the piece's hashes, and where it begins."""
+    data = np.frombuffer(raw, np.uint8)
+    for begin in range(0, len(data), PIECE):
+        here = np.flatnonzero((at >= begin) & (at < begin + PIECE))
+        if len(here):
+            a = max(0, begin - MARGIN)
+            yield here, Hashes(data[a : begin + PIECE + MARGIN]), a
+
+
+def quarters(raw: bytes, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Block number, core name, span name and place of the quarters of some blocks."""
+    t, most = place >> 16, place >> 8 & 255
+    least = most - (place & 255)
+    found = []
+    for q in range(-1, (REACH - NEAR + 1) // QUARTER):  # -1: windows without a trigger, which are what they are
+        lo, hi = (0, 0) if q < 0 else (NEAR + QUARTER * q, NEAR + QUARTER * (q + 1) - 1)
+        a, b = np.minimum(most, hi), np.maximum(least, lo)
+        some = np.flatnonzero(a >= b)
+        core, span = np.zeros(len(some), np.uint64), np.zeros(len(some), np.uint64)
+        x, a, b = t[some], a[some], b[some]
+        for here, h, at in _pieces(raw, x):
+            y, c, d = x[here] - at, a[here], b[here]
+            core[here] = _mix(h.of(0, y - lo, y - hi + WIDTH) + np.uint64(q + 2))
+            span[here] = _mix(h.of(0, y - c, y - d + WIDTH)) ^ _mix(_mix(h.of(1, y - c, y - d + WIDTH)) + (c * 256 + d).astype(np.uint64))
+        found.append((some, core, span, x << 16 | a << 8 | (a - b)))
+    return tuple(np.concatenate([f[k] for f in found]) for k in range(4))
+
+
 def window_names(raw: bytes, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Block number, start and both names of every window of some blocks."""
     block, start = _starts(place)
-    data = np.frombuffer(raw, np.uint8)
     one, two = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
-    for at in range(0, len(data), PIECE):
-        here = np.flatnonzero((start >= at) & (start < at + PIECE))
-        if len(here):
-            one[here], two[here] = Hashes(data[at : at + PIECE + WIDTH]).windows(start[here] - at)
+    for here, h, at in _pieces(raw, start):
+        one[here], two[here] = h.windows(start[here] - at)
     return block, start, one, two
 
 
@@ -184,20 +214,35 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([_longs(core), _longs(span), pa.array(k1[doc]), pa.array(k2[doc]), _longs(place)], names=["core", "span", "k1", "k2", "place"])
 
 
-#: What a listed block is: repeated as a whole; standing for such; with single windows to be told.
+#: What a listed block is: repeated as a whole; standing for such; with windows to be told.
 WHOLE, STANDS, OPEN = 1, 2, 4
+ROWS = "core long, span long, k1 long, k2 long, place long"
+
+
+def _listed(codes: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    """Places and kinds of the blocks of a text that aren't settled."""
+    code = codes.values.to_numpy()
+    code = code[(code & 7) >= STANDS]
+    return code >> 3, code & 7
+
+
+def _quarter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k1, k2, raw, codes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+            place, kind = _listed(codes)
+            block, core, span, part = quarters(raw.as_py(), place)
+            n = len(part)
+            yield pa.RecordBatch.from_arrays([_longs(core), _longs(span), pa.array(np.full(n, k1)), pa.array(np.full(n, k2)), _longs(part), pa.array(kind[block] == OPEN)], names=["core", "span", "k1", "k2", "place", "open"])
 
 
 def _name_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for k1, k2, raw, listed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
-            code = listed.values.to_numpy()
-            code = code[(code & 7) >= STANDS]
-            place, kind = code >> 3, code & 7
+        for k1, k2, raw, codes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+            place, kind = _listed(codes)
             block, start, one, two = window_names(raw.as_py(), place)
             own = _mix(_mix(place.astype(np.uint64) + np.uint64(k2 & (1 << 64) - 1)) + np.uint64(k1 & (1 << 64) - 1))
             n = len(start)
-            yield pa.RecordBatch.from_arrays([_longs(one), _longs(two), pa.array(np.full(n, k1)), pa.array(np.full(n, k2)), _longs(start), _longs(own[block]), pa.array(kind[block] == OPEN)], names=["w1", "w2", "k1", "k2", "start", "own", "open"])
+            yield pa.RecordBatch.from_arrays([_longs(one), _longs(two), pa.array(np.full(n, k1)), pa.array(np.full(n, k2)), _longs(start << 16), _longs(own[block]), pa.array(kind[block] == OPEN)], names=["w1", "w2", "k1", "k2", "place", "own", "open"])
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,14 +250,31 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for raw, listed, more in zip(b.column(1), b.column(2), b.column(3), strict=True):
             data, code = raw.as_py(), listed.values.to_numpy()
-            starts = _starts(code[(code & 7) == WHOLE] >> 3)[1]
+            place = code[(code & 7) == WHOLE] >> 3
             if more.is_valid:
-                starts = np.concatenate([starts, more.values.to_numpy()])
-            rows.append((len(data), *strip(data, np.unique(starts))))
+                place = np.concatenate([place, more.values.to_numpy()])
+            rows.append((len(data), *strip(data, np.unique(_starts(place)[1]))))
         columns = list(zip(*rows, strict=True)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _repeated(rows: DataFrame, tag: str) -> DataFrame:
+    """Rows whose core occurs again, in shared storage; ``mixed`` if with another span."""
+    again = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("a"), F.max("span").alias("b")).where("n > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
+    return cut(rows.join(again, "core"), tag)
+
+
+def _settle(shared: DataFrame, opened: Column) -> tuple[DataFrame, DataFrame]:
+    """Blocks repeated as a whole (k1, k2, place), and one block for each span of a mixed core, with its kind (k1, k2, code)."""
+    mixed = shared.where("mixed")
+    one = F.min(F.struct("k1", "k2", "place", opened.alias("open")))
+    spans = mixed.groupBy("core", "span").agg(F.count(F.lit(1)).alias("n"), one.alias("one"))
+    twice = mixed.join(spans.where("n > 1").select("core", "span"), ["core", "span"])
+    whole = shared.where("not mixed").select("k1", "k2", "place").unionByName(twice.select("k1", "k2", "place"))
+    kind = F.when((F.col("n") == 1) & F.col("one.open"), OPEN).otherwise(STANDS)
+    return whole, spans.select("one.k1", "one.k2", (F.col("one.place") * 8 + kind).alias("code"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_bytes, n_removed, n_spans, kept_sha256)`` of every row.
 
@@ -225,26 +287,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col))
     keyed = docs.select(F.col(id_col).alias("id"), *_keys(id_col, text_col), F.col(text_col).cast("binary").alias("raw"))
     long = keyed.where(F.octet_length("raw") >= WIDTH)
-    parsed = long.select("k1", "k2", "raw").mapInArrow(_parse, "core long, span long, k1 long, k2 long, place long")
-    again = parsed.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("a"), F.max("span").alias("b")).where("n > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
-    shared = cut(parsed.join(again, "core"), "shared")
-
-    mixed = shared.where("mixed")
-    spans = mixed.groupBy("core", "span").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one"))
-    code = lambda place, kind: (F.col(place) * 8 + kind).alias("code")
-    listed = (
-        shared.where("not mixed").select("k1", "k2", code("place", WHOLE))
-        .unionByName(mixed.join(spans.where("n > 1").select("core", "span"), ["core", "span"]).select("k1", "k2", code("place", WHOLE)))
-        .unionByName(spans.select("one.k1", "one.k2", code("one.place", F.when(F.col("n") == 1, OPEN).otherwise(STANDS))))
-    )
-    lists = listed.groupBy("k1", "k2").agg(F.collect_set("code").alias("codes"))
+    parsed = long.select("k1", "k2", "raw").mapInArrow(_parse, ROWS)
+    whole, standing = _settle(_repeated(parsed, "blocks"), F.lit(True))
+    listed = whole.select("k1", "k2", (F.col("place") * 8 + WHOLE).alias("code")).unionByName(standing)
+    lists = cut(listed.groupBy("k1", "k2").agg(F.collect_set("code").alias("codes")), "lists")
+    if lists.count() <= KEYS:
+        long = long.join(F.broadcast(lists.select("k1", "k2")), ["k1", "k2"], "left_semi")
     touched = cut(long.join(lists, ["k1", "k2"]), "touched")
 
-    told = touched.where(F.exists("codes", lambda c: c % 8 >= STANDS)).dropDuplicates(["k1", "k2"]).select("k1", "k2", "raw", "codes")
-    named = told.mapInArrow(_name_windows, "w1 long, w2 long, k1 long, k2 long, start long, own long, open boolean")
+    unsettled = lambda c: F.exists(c, lambda x: x % 8 >= STANDS)
+    texts = touched.where(unsettled("codes")).dropDuplicates(["k1", "k2"]).select("k1", "k2", "raw", "codes")
+    parts, standing = _settle(_repeated(texts.mapInArrow(_quarter, f"{ROWS}, open boolean"), "quarters"), F.col("open"))
+    left = standing.groupBy("k1", "k2").agg(F.collect_set("code").alias("codes"))
+    named = texts.drop("codes").join(left, ["k1", "k2"]).mapInArrow(_name_windows, "w1 long, w2 long, k1 long, k2 long, place long, own long, open boolean")
     twice = named.groupBy("w1", "w2").agg(F.min("own").alias("a"), F.max("own").alias("b"), F.max("open").alias("open")).where("a <> b and open").select("w1", "w2")
-    starts = named.where("open").join(twice, ["w1", "w2"]).groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
-    cleaned = touched.join(starts, ["k1", "k2"], "left").select("id", "raw", "codes", "starts").mapInArrow(_strip, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    windows = named.where("open").join(twice, ["w1", "w2"]).select("k1", "k2", "place")
+    places = parts.unionByName(windows).groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
+    cleaned = touched.join(places, ["k1", "k2"], "left").select("id", "raw", "codes", "places").mapInArrow(_strip, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
     whole = keyed.select("id", "k1", "k2", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("kept_sha256"))
     alone = whole.join(touched.select("k1", "k2").distinct(), ["k1", "k2"], "left_anti").select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256")
