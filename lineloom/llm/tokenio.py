@@ -12,9 +12,9 @@ search and without reading the payload.
 Scale. Texts are range-partitioned by key and sorted once; every task encodes and
 streams one shard to shared storage, under a name of its own until it is whole.
 Global starts are prefix sums over the manifest, which has a row for each shard.
-Words repeat, so each worker keeps a bounded cache from words to ids; a text is cut
-at single spaces only where the pre-tokenizer is bound to cut too, and all other
-texts go to the library whole.
+Words repeat, so each worker keeps bounded caches from pieces between spaces, and
+from words, to ids; a text is cut at single spaces only where the pre-tokenizer is
+bound to cut too, and all other texts go to the library whole.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +35,18 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import cut, new_path
 
-MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 400_000, 2
+MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 700_000, 2
 _tokenizers: dict[str, Encoder] = {}
-#: White space that touches a space, or a trailing space: such a text is not cut.
-_UNSAFE = re.compile(r" \s|\s | $")
+#: Fixed value: how the pre-tokenizer cuts words.
+_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters on whose classes all libraries agree; other pieces aren't cut further.
+_LATIN = re.compile("[\\x00-\u024f]*")
+#: White space other than space and newline: a text with any is not cut.
+_RARE = re.compile(r"[^\S \n]")
 
 
 class Encoder:
-    """Byte-level BPE of the tokenizers library with a cache by word."""
+    """Byte-level BPE of the tokenizers library with bounded caches by piece and by word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,30 +57,49 @@ class Encoder:
         spec = json.loads(self.library.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.missed = 0
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, kind).tobytes() for at in range(0, len(texts), 4096) for e in self.library.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> bool:
+        """Adds the ids of pieces after a space that aren't known; says whether there is room to keep them."""
+        cut = [_WORDS.findall(" " + p) if _LATIN.fullmatch(p) else [" " + p] for p in new]
+        words, before = self.words, len(self.words)
+        fresh = list({w for ws in cut for w in ws}.difference(words))
+        words.update(zip(fresh, self._raw(fresh), strict=True))
+        self.pieces.update((p, b"".join([words[w] for w in ws])) for p, ws in zip(new, cut, strict=True))
+        self.missed += len(fresh)
+        if before > CACHE:
+            for w in fresh:
+                del words[w]
+        return len(self.pieces) <= CACHE // 2
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes of this encoder's width."""
-        pieces: list[list[str] | None] = []
+        cut, heads, whole = [], [], []
         for t in texts:
-            if not self.cuts or _UNSAFE.search(t):
-                pieces.append(None)
-                continue
-            first, *rest = t.split(" ")
-            pieces.append([first, *[" " + p for p in rest]] if first else [" " + p for p in rest])
-        known = self.known
-        new = list({p for ps in pieces if ps for p in ps if p not in known})
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list({p for ps in pieces if ps for p in ps})
-        for at in range(0, len(new), 4096):
-            known.update(zip(new[at : at + 4096], self._raw(new[at : at + 4096]), strict=True))
-        whole = iter(self._raw([t for t, ps in zip(texts, pieces, strict=True) if ps is None]))
-        return [next(whole) if ps is None else b"".join([known[p] for p in ps]) for ps in pieces]
+            if self.cuts and not (_RARE.search(t) or "  " in t or " \n" in t or "\n " in t or t.endswith(" ")):
+                head, *rest = t.split(" ")
+                cut.append(rest)
+                heads.append(head)
+            else:
+                cut.append(None)
+                whole.append(t)
+        known = self.pieces
+        new = list({p for ps in cut if ps for p in ps}.difference(known))
+        room = self._learn(new) if new else True
+        first, rest = iter(self._raw(heads)), iter(self._raw(whole))
+        out = [next(rest) if ps is None else b"".join([next(first), *map(known.__getitem__, ps)]) for ps in cut]
+        if not room:
+            for p in new:
+                del known[p]
+        if self.missed > 8 * CACHE:  # the texts have changed: begin anew
+            self.pieces, self.words, self.missed = {}, {}, 0
+        return out
 
 
 def encoder(path: str) -> Encoder:
