@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lineloom.storage import cut
+
 #: Phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -73,7 +75,7 @@ def license_matches(docs: DataFrame, id_col: str, text_col: str, phrases: dict[s
     g, t = grams.withColumn("h", F.xxhash64("w0", "w1")).alias("g"), F.broadcast(known.withColumn("h", F.xxhash64("t0", "t1"))).alias("t")  # a fixed table
     same = (F.col("g.h") == F.col("t.h")) & (F.col("w0") == F.col("t0")) & (F.col("w1") == F.col("t1")) & ((F.col("k") == SHORT_GRAM) | ((F.col("w2") == F.col("t2")) & (F.col("w3") == F.col("t3"))))
     hits = g.join(t, same).select("id", "text_hash", "tpl", "base", "label", "n", "grams", "pos", (F.col("pos") - F.col("tpos")).alias("diagonal")).distinct()  # repeated rows vote once
-    votes = hits.groupBy("id", "text_hash", "tpl", "base", "label", "n", "grams", "diagonal").agg(F.count(F.lit(1)).cast("int").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    votes = cut(hits.groupBy("id", "text_hash", "tpl", "base", "label", "n", "grams", "diagonal").agg(F.count(F.lit(1)).cast("int").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi")), "votes")  # a few rows for each match; read twice below
     exact = votes.where("n <= 5 and votes = grams").select("id", "text_hash", "label", "base", F.col("diagonal").alias("start"), F.col("n").alias("words"), F.lit(1.0).alias("score"))
     along = Window.partitionBy("id", "text_hash", "tpl").orderBy("diagonal")
     runs = votes.where("n > 5").withColumn("new", (F.col("diagonal") - F.coalesce(F.lag("diagonal").over(along), F.lit(-(1 << 30))) > DRIFT).cast("int")).withColumn("run", F.sum("new").over(along))
