@@ -12,8 +12,8 @@ search and without reading the payload.
 Scale. Texts are range-partitioned by key and sorted once; every task encodes and
 streams one shard to shared storage, under a name of its own until it is whole.
 Global starts are prefix sums over the manifest, which has a row for each shard.
-Words repeat, so each worker keeps bounded caches from pieces between spaces, and
-from words, to ids; a text is cut at single spaces only where the pre-tokenizer is
+Words repeat, so each worker keeps a bounded cache from words, and some other pieces
+between spaces, to ids; a text is cut at single spaces only where the pre-tokenizer is
 bound to cut too, and all other texts go to the library whole.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import cut, new_path
 
-MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 700_000, 2
+MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 480_000, 2
 _tokenizers: dict[str, Encoder] = {}
 #: Fixed value: how the pre-tokenizer cuts words.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -46,7 +46,7 @@ _RARE = re.compile(r"[^\S \n]")
 
 
 class Encoder:
-    """Byte-level BPE of the tokenizers library with bounded caches by piece and by word."""
+    """Byte-level BPE of the tokenizers library with a bounded cache from the words of texts to ids."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -57,26 +57,32 @@ class Encoder:
         spec = json.loads(self.library.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.missed = 0
+        self.known: dict[str, bytes] = {}  # ids of a piece after a space
+        self.bare: dict[str, bytes] = {}  # ids of parts of pieces that don't follow a space
+        self.odd = self.missed = 0
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for at in range(0, len(texts), 4096) for e in self.library.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> bool:
-        """Adds the ids of pieces after a space that aren't known; says whether there is room to keep them."""
-        cut = [_WORDS.findall(" " + p) if _LATIN.fullmatch(p) else [" " + p] for p in new]
-        words, before = self.words, len(self.words)
-        fresh = list({w for ws in cut for w in ws}.difference(words))
-        words.update(zip(fresh, self._raw(fresh), strict=True))
-        self.pieces.update((p, b"".join([words[w] for w in ws])) for p, ws in zip(new, cut, strict=True))
-        self.missed += len(fresh)
-        if before > CACHE:
-            for w in fresh:
-                del words[w]
-        return len(self.pieces) <= CACHE // 2
+        return [np.array(e.ids, kind).tobytes() for at in range(0, len(texts), 1024) for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> list[str]:
+        """Adds the ids of pieces that aren't known; returns those that there is no room to keep."""
+        known, bare, room = self.known, self.bare, len(self.known) - self.odd < CACHE
+        words, odd = {p for p in new if p.isalpha()}, {}
+        for p in new:
+            if not p.isalpha():
+                odd[p] = [(w[1:], True) if w[0] == " " and w[1:].isalpha() else (w, False) for w in (_WORDS.findall(" " + p) if _LATIN.fullmatch(p) else [" " + p])]
+        words = list(words.union(w for ws in odd.values() for w, spaced in ws if spaced).difference(known))
+        rest = list({w for ws in odd.values() for w, spaced in ws if not spaced}.difference(bare))
+        known.update(zip(words, self._raw([" " + w for w in words]), strict=True))
+        bare.update(zip(rest, self._raw(rest), strict=True))
+        known.update((p, b"".join([known[w] if spaced else bare[w] for w, spaced in ws])) for p, ws in odd.items())
+        self.missed += len(words) + len(rest)
+        if len(bare) > CACHE // 4:
+            bare.clear()
+        keep_odd = self.odd < CACHE // 8
+        self.odd += len(odd) if keep_odd else 0
+        return ([] if room else words) + ([] if keep_odd else list(odd))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes of this encoder's width."""
@@ -89,16 +95,16 @@ class Encoder:
             else:
                 cut.append(None)
                 whole.append(t)
-        known = self.pieces
+        known = self.known
         new = list({p for ps in cut if ps for p in ps}.difference(known))
-        room = self._learn(new) if new else True
+        passing = self._learn(new) if new else []
         first, rest = iter(self._raw(heads)), iter(self._raw(whole))
         out = [next(rest) if ps is None else b"".join([next(first), *map(known.__getitem__, ps)]) for ps in cut]
-        if not room:
-            for p in new:
-                del known[p]
-        if self.missed > 8 * CACHE:  # the texts have changed: begin anew
-            self.pieces, self.words, self.missed = {}, {}, 0
+        for p in passing:
+            del known[p]
+        if self.missed > 16 * CACHE:  # the texts have changed: begin anew
+            known.clear()
+            self.odd = self.missed = 0
         return out
 
 
@@ -176,8 +182,8 @@ def write_shard(batches: Iterator[pa.RecordBatch], folder: str, number: int, tok
             out = store.open_output_stream(own)
         nulls += batch.column(0).null_count
         keys.append(batch.column(0).fill_null(0).to_numpy())
-        for at in range(0, batch.num_rows, 512):
-            raw = enc.encode([t or "" for t in batch.column(1).slice(at, 512).to_pylist()])
+        for at in range(0, batch.num_rows, 128):
+            raw = enc.encode([t or "" for t in batch.column(1).slice(at, 128).to_pylist()])
             lengths.append(np.fromiter((len(r) // enc.width + 1 for r in raw), np.int64, len(raw)))
             out.write(b"".join([x for r in raw for x in (r, stop)]))
     if out is None:
