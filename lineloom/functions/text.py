@@ -5,8 +5,6 @@ All of them are built-in expressions and stay inside generated code.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -132,7 +130,3 @@ def verdict(text: Column, number: int) -> Column:
     """The verdict on a numbered line: yes, no or partial, which is also the default."""
     found = F.lower(F.regexp_extract(text, rf"(?im)^\s*{number}\)\s*(yes|no|partial)\b", 1))
     return F.coalesce(F.nullif(found, F.lit("")), F.lit("partial"))
-
-
-def any_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
