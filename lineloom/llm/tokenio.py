@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import cut, new_path
 
-MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 480_000, 2
+MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 700_000, 2
 _tokenizers: dict[str, Encoder] = {}
 #: Fixed value: how the pre-tokenizer cuts words.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -62,8 +64,14 @@ class Encoder:
         self.odd = self.missed = 0
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for at in range(0, len(texts), 1024) for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False)]
+        kind, out = "H" if self.width == 2 else "I", []
+        for at in range(0, len(texts), 1024):
+            for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False):
+                ids = array(kind, e.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                out.append(ids.tobytes())
+        return out
 
     def _learn(self, new: list[str]) -> list[str]:
         """Adds the ids of pieces that aren't known; returns those that there is no room to keep."""
