@@ -216,7 +216,9 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
     d, n = dims
     rows = rows.where(F.size("vec") == d)
     parts = int(min(PARTS, max(1, n // ROWS_PER_PART)))
-    drawn = rows.select("vec", F.xxhash64(F.lit(SEED), "id", "vec").alias("h")).orderBy("h").limit(min(SAMPLE, 512 * parts)).select("vec")
+    most = min(SAMPLE, 512 * parts)
+    hashed = rows.select("vec", F.xxhash64(F.lit(SEED), "id", "vec").alias("h")).where(F.col("h").bitwiseAND(0xFFFFFF) < int(min(1.0, 4 * most / n) * (1 << 24)))  # thinned before it is ordered
+    drawn = hashed.orderBy("h").limit(most).select("vec")
     router = train(np.array([r[0] for r in drawn.collect()], np.float64).reshape(-1, d) if parts > 1 else np.zeros((0, d)), parts, k)
 
     def route(n_parts: int):
