@@ -82,3 +82,52 @@ def test_keep_one(spark):
     groups = {(c, f) if c is None else c for _, f, c in components(rows)}
     assert len(kept) == len(groups)
     assert S.keep_one(df.limit(0)).count() == 0 and S.near_duplicates(df.limit(0)).count() == 0
+
+
+def similar(rows):
+    """Smallest id of each component of rows whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").split()
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label, found = list(range(len(rows))), []
+    for a in range(len(rows)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                found.append((sets[a], sets[b]))
+                if label[a] != label[b]:
+                    old = label[a]
+                    label = [label[b] if x == old else x for x in label]
+    return found, sorted(min(i for (i, _), c in zip(rows, label, strict=True) if c == k) for k in set(label))
+
+
+def test_keep_one_similar_finds_edited_copies(spark):
+    rng = random.Random(5)
+    rows = [(1, ""), (2, None), (3, "one two"), (4, "ONE two".lower()), (5, "one two three")]
+    for n in (30, 60, 120, 400, 1500):
+        for _ in range(12):
+            t = [f"w{rng.randrange(3000)}" for _ in range(n)]
+            for share in (0, 0.01, 0.02, 0.021, 0.022, 0.03):  # up to the edge of similarity 0.8, and beyond
+                copy = list(t)
+                for at in rng.sample(range(n), int(n * share)):
+                    copy[at] = f"new{rng.randrange(10**6)}"
+                rows.append((len(rows) * 7 % 1009 + 10, " ".join(copy)))
+    found, want = similar(rows)
+    far = sum((S.fingerprint(rows[a][1]) ^ S.fingerprint(rows[b][1])).bit_count() > 3 for a in range(5, len(rows)) for b in range(5 + (a - 5) // 6 * 6, a))
+    assert far and len(found) > 100
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in S.keep_one_similar(df).collect()) == want
+    assert S.keep_one_similar(df.limit(0)).count() == 0
+
+
+def test_keep_one_similar_in_large_buckets(spark):
+    rng = random.Random(6)
+    line = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        t = list(line)
+        for at in rng.sample(range(60), rng.choice([0, 1, 1, 2, 3])):
+            t[at] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in S.keep_one_similar(df, block=16).collect()) == similar(rows)[1]
