@@ -142,10 +142,14 @@ def _rank(k: int, d: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         order = np.argsort(ids, kind="stable")
         ids, vecs = ids[order], np.ascontiguousarray(vecs[order])
         _, same = np.unique(vecs.view(np.dtype((np.void, 8 * d))).ravel(), return_inverse=True)
-        by = np.argsort(same, kind="stable")  # of equal vectors only the k + 1 smallest ids can be among k nearest
-        start = np.flatnonzero(np.concatenate([[True], same[by][1:] != same[by][:-1]]))
-        nth = np.arange(len(by)) - np.repeat(start, np.diff(np.append(start, len(by))))
-        keep = np.sort(by[nth <= k])
+        by = np.argsort(same, kind="stable")  # equal vectors stand together, by id
+
+        def nth(*columns: np.ndarray) -> np.ndarray:
+            start = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
+            return np.arange(len(by)) - np.repeat(start, np.diff(np.append(start, len(by))))
+
+        by = by[nth(same[by], ids[by]) < k]  # k rows of an id serve any other id
+        keep = np.sort(by[nth(same[by]) < 2 * k])  # a query loses at most the k rows of its own id
         ids, vecs = ids[keep], vecs[keep]
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for at in range(0, len(asked), 512):

@@ -51,3 +51,11 @@ def test_recall_over_parts(spark, monkeypatch):
     want = {(q, i) for q, _, i, _ in brute(rows, 20)}
     assert len(got) == len(want)
     assert len({(r.query_id, r.vec_id) for r in got} & want) / len(want) >= 0.9
+
+
+def test_query_id_repeats_inside_many_copies(spark):
+    rows = table(200, 3)
+    rows += [(20, rows[7][1], 0, "x") for _ in range(40)] + [(1000 + i, rows[7][1], 0, "x") for i in range(60)] + [(1001, rows[7][1], 0, "x") for _ in range(30)]
+    rows = [r for r in rows if r[0] != 20 or r[1] == rows[7][1]]  # id 20 asks with the copied vector and holds 40 of its rows
+    got = A.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    equal(got, brute(rows, 20))
