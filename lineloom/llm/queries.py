@@ -62,7 +62,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenio.tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+    return tokenio.tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), plain=False)
 
 
 QUERIES = {

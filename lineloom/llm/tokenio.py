@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lineloom.storage import cut, new_path
 
 MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 700_000, 2
-_tokenizers: dict[str, Encoder] = {}
+_tokenizers: dict[tuple[str, bool], Encoder] = {}
 #: Fixed value: how the pre-tokenizer cuts words.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters on whose classes all libraries agree; other pieces aren't cut further.
@@ -48,13 +48,19 @@ _RARE = re.compile(r"[^\S \n]")
 
 
 class Encoder:
-    """Byte-level BPE of the tokenizers library with a bounded cache from the words of texts to ids."""
+    """Byte-level BPE of the tokenizers library with a bounded cache from the words of texts to ids.
 
-    def __init__(self, path: str):
+    With ``plain`` a special token that stands in a text is plain text; else it gets
+    its own id, as in the library's default call.
+    """
+
+    def __init__(self, path: str, plain: bool = True):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = plain
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if not (plain and t.special)]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None  # texts with one are not cut
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         spec = json.loads(self.library.to_str())
         pre = spec.get("pre_tokenizer") or {}
@@ -96,7 +102,7 @@ class Encoder:
         """The ids of each text as raw bytes of this encoder's width."""
         cut, heads, whole = [], [], []
         for t in texts:
-            if self.cuts and not (_RARE.search(t) or "  " in t or " \n" in t or "\n " in t or t.endswith(" ")):
+            if self.cuts and not (self.added and self.added.search(t)) and not (_RARE.search(t) or "  " in t or " \n" in t or "\n " in t or t.endswith(" ")):
                 head, *rest = t.split(" ")
                 cut.append(rest)
                 heads.append(head)
@@ -116,10 +122,10 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _tokenizers:
-        _tokenizers[path] = Encoder(path)
-    return _tokenizers[path]
+def encoder(path: str, plain: bool = True) -> Encoder:
+    if (path, plain) not in _tokenizers:
+        _tokenizers[path, plain] = Encoder(path, plain)
+    return _tokenizers[path, plain]
 
 
 def _mix(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -175,9 +181,9 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
-def write_shard(batches: Iterator[pa.RecordBatch], folder: str, number: int, tokenizer: str, end_id: int) -> pa.RecordBatch | None:
+def write_shard(batches: Iterator[pa.RecordBatch], folder: str, number: int, tokenizer: str, end_id: int, plain: bool = True) -> pa.RecordBatch | None:
     """Streams one shard; rows (id, text) come in ascending order of id, nulls first."""
-    enc = encoder(tokenizer)
+    enc = encoder(tokenizer, plain)
     store, home = _open(folder)
     lengths, keys, nulls, out = [], [], 0, None
     final, own = f"{home}/shard-{number:06d}.tok", f"{home}/.{uuid.uuid4().hex}.part"
@@ -248,7 +254,7 @@ class Shard:
         return np.frombuffer(self.file.read_at((b - a) * self.width, a * self.width), f"<u{self.width}")
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text", plain: bool = True) -> DataFrame:
     """Writes shards in ascending order of id and returns the manifest, with each shard's ``start``.
 
     Null ids come first and have no index entry; a null text is empty; repeated ids
@@ -258,7 +264,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     ordered = narrow.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = write_shard(batches, folder, TaskContext.get().partitionId(), tokenizer, end_id)
+        row = write_shard(batches, folder, TaskContext.get().partitionId(), tokenizer, end_id, plain)
         if row is not None:
             yield row
 
@@ -298,7 +304,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, id_col: str = "doc_id"
     return rows.select(F.col("id").alias(id_col), "start", "n_tokens", "ids_crc32")
 
 
-def tokens_round_trip(docs: DataFrame, tokenizer: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def tokens_round_trip(docs: DataFrame, tokenizer: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text", plain: bool = True) -> DataFrame:
     """Writes the shards of ``docs`` to shared storage and reads them back."""
     spark = docs.sparkSession
-    return read_tokens(spark, write_tokens(docs, new_path(spark, "tokens"), tokenizer, end_id, id_col, text_col), id_col)
+    return read_tokens(spark, write_tokens(docs, new_path(spark, "tokens"), tokenizer, end_id, id_col, text_col, plain), id_col)

@@ -56,3 +56,14 @@ def test_lookup_refuses_unknown_keys(spark, tmp_path):
     shard = T.Shard(file)
     known, unknown = shard.keys, shard.keys + 1
     assert (shard.find(known) == np.arange(len(known))).all() and (shard.find(unknown) == -1).all()
+
+
+def test_query_gives_special_tokens_the_ids_of_an_untouched_library(spark, tmp_path):
+    from lineloom.llm.queries import QUERIES
+
+    untouched = Tokenizer.from_file(tokenizer_path())
+    rows = list(enumerate([*texts(), "end <|endoftext|> next", "a<|endoftext|>b c"]))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in QUERIES["op10_token_output"](spark, str(tmp_path)).collect()}
+    ids = {i: untouched.encode(t or "", add_special_tokens=False).ids + [2] for i, t in rows}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids.items()}
