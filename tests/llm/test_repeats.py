@@ -69,3 +69,40 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     n = len(t.encode())
     assert got == [(0, n, n), (0, n, n), (1, n, n), (1, n, n), (2, 0, 0)]
     assert R.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def shares(texts, n):
+    """Rows with a run of n words that a row of another text has."""
+    grams = {}
+    for i, t in enumerate(texts):
+        w = (t or "").encode().split()
+        for k in range(len(w) - n + 1):
+            grams.setdefault(tuple(w[k : k + n]), set()).add(t)
+    return {i for i, t in enumerate(texts) for w in [(t or "").encode().split()] if any(len(grams[tuple(w[k : k + n])]) > 1 for k in range(len(w) - n + 1))}
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_passages_of_over_fifty_words(spark, seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = [prose(n) for n in (40, 45, 48, 53, 56, 60, 70)]  # 51 words have some 330 bytes here
+    texts = [f"{prose(rng.randint(0, 60))} {rng.choice(passages)} {prose(rng.randint(0, 60))}" for _ in range(60)] + [prose(rng.randint(1, 300)) for _ in range(40)] + passages[4:5]
+    got = {r.doc_id for r in R.remove_repeats(spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], SCHEMA)).collect() if r.passage_words}
+    assert got == shares(texts, 51) == shares(texts, 53)
+
+
+def test_one_passage_in_front_of_many_texts(spark, monkeypatch):
+    """A group of copies and near copies that every range border cuts."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8))) for _ in range(n))
+    hot = prose(120)
+    texts = [prose(rng.randint(0, 9)) + " " + hot[rng.randint(0, 40) :] for _ in range(150)] + [hot[:at] + "#" + hot[at:] for at in rng.sample(range(len(hot)), 150)] + [hot] * 20 + [hot[: rng.randint(300, len(hot))] for _ in range(100)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in R.remove_repeats(spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == dict(enumerate(brute(texts)))
