@@ -94,11 +94,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     spans = license_matches(docs, id_col, text_col, phrases, templates)
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")  # noqa: E731  a few fixed labels
     base = F.col("base")
-    per_doc = spans.groupBy(F.xxhash64("id", "text_hash").alias("row")).agg(
+    per_doc = spans.groupBy(F.struct("id", "text_hash").alias("row")).agg(
         F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("start"))).alias("first_word"), F.max(F.when(base, F.col("start"))).alias("last_word"),
         joined(F.when(base, F.col("label"))).alias("base_labels"), joined("label").alias("labels"), F.max("score").alias("score"),
     )
-    rows = docs.select(F.col(id_col), F.xxhash64(F.col(id_col), F.xxhash64(text_col)).alias("row"), F.size(license_words(F.col(text_col))).cast("long").alias("n_words"))
+    rows = docs.select(F.col(id_col), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash")).alias("row"), F.size(license_words(F.col(text_col))).cast("long").alias("n_words"))
     return rows.join(per_doc, "row", "left").select(
         id_col, "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), F.col("first_word").cast("long").alias("first_word"), F.col("last_word").cast("long").alias("last_word"),
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),

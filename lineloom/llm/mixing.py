@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lineloom.llm.rows import KEY, row_key
 from lineloom.storage import cut
 
 WEIGHTS, SHARE, ROUNDS, BUCKETS, SEED = (3, 1, 2), (3, 2), 2, 65536, "mix-20"
 
-KEY, TIMES = "__lineloom_row", "__lineloom_times"
+TIMES = "__lineloom_times"
 
 
 def word_count(text: Column) -> Column:
@@ -130,11 +131,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan_df = spark.createDataFrame(plan, "members array<string>, pattern int, whole int, rest long, source_size long, target double")
 
     key = lambda c: F.to_json(F.struct(F.col(c).alias("m")), {"ignoreNullFields": "false"})
-    known = rows.withColumn("k", key("members")).drop("members").join(plan_df.withColumn("k", key("members")).drop("members"), "k").drop("k")
+    known = rows.withColumn("k", key("members")).drop("members").join(F.broadcast(plan_df.withColumn("k", key("members")).drop("members")), "k").drop("k")
     sums = known.where("rest > 0").groupBy("pattern", "rest", "bucket").agg(F.sum("size").alias("n"))
     upto = sums.withColumn("before", F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket")) - F.col("n"))
     edge = upto.where("before < rest AND before + n >= rest").select("pattern", F.col("bucket").alias("edge"), "before")  # at most a bucket for each pattern
-    dealt = known.join(edge, "pattern", "left")
+    dealt = known.join(F.broadcast(edge), "pattern", "left")  # the patterns of the plan, which the driver holds
     inside = (F.col("bucket") < F.col("edge")) & (F.col("rest") > 0)
     far = dealt.where(~F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False))).withColumn("more", F.coalesce(inside.cast("int"), F.lit(0))).drop("before", "edge")
     near = dealt.where(F.col("bucket") == F.col("edge"))
@@ -146,7 +147,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as :func:`mix` takes it, all columns kept."""
-    keyed = docs.withColumn(KEY, F.xxhash64(F.col(id_col), F.col(text_col), F.to_json(F.struct(F.col(source_col)))))
+    """The mix itself: every row of ``docs`` as often as :func:`mix` takes it, all columns kept.
+
+    Rows are told apart by id and all columns, so rows that differ anywhere are taken
+    each for itself, and equal rows together as often as the mix takes them.
+    """
+    keyed = docs.withColumn(KEY, row_key(docs, id_col))
     chosen = mix(keyed, id_col, text_col, source_col, keep=(KEY,), **options).where("repeats > 0").groupBy(KEY).agg(F.sum("repeats").cast("int").alias(TIMES))
     return keyed.dropDuplicates([KEY]).join(chosen, KEY).withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).drop(KEY, TIMES)

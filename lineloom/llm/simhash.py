@@ -38,14 +38,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineloom.llm.rows import KEY, row_key
 from lineloom.operators.components import connected_components
 from lineloom.storage import cut
 
-SEED, SHINGLE, BITS, BLOCK, PIVOTS = 42, 3, 3, 2048, 24
+SEED, SHINGLE, BITS, BLOCK, PIVOTS, FEW = 42, 3, 3, 2048, 24, 1_000_000
 #: Near copies by content: shingle length, least similarity as a fraction, keys and minima in a key.
 WIDE, SIMILAR, BANDS, ROWS = 5, (4, 5), 32, 6
-#: Name of a passing column.
-KEY = "__lineloom_row"
 #: Five blocks of the 64 bits, and the ten pairs of them.
 EDGES = (0, 13, 26, 39, 52, 64)
 MASKS = [sum(((1 << EDGES[b + 1]) - (1 << EDGES[b])) for b in pair) for pair in combinations(range(5), 2)]
@@ -199,17 +198,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(label, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _first_rows(docs: DataFrame, key: Column, named: DataFrame) -> DataFrame:
+    """Of ``docs`` the row of each component that comes first by (id, row); ``named`` is (id struct, component)."""
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("id.id").isNull().alias("none"), F.col("id").alias("key"))).alias("one"))
+    kept = first.select(F.col("one.key.id").alias("__lineloom_id"), F.col("one.key.row").alias("__lineloom_hash"))
+    keyed = docs.withColumn(KEY, key)
+    same = F.col(f"{KEY}.id").cast("long").eqNullSafe(F.col("__lineloom_id")) & (F.col(f"{KEY}.row") == F.col("__lineloom_hash"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([KEY]).drop(KEY)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """One row of each component of near duplicates, all columns kept: that of the smallest id.
+    """One row of each component of near duplicates, all columns kept: that of the smallest id, null ids last.
 
-    Of rows with that id the one with the smallest text hash stays, of equal rows one.
+    Of rows with that id the one with the smallest hash of all columns stays, of equal rows one.
     """
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    fps = cut(fingerprints(docs.withColumn(KEY, F.struct(F.col(id_col).cast("long").alias("id"), row.alias("row"))), KEY, text_col, size, "struct<id:bigint,row:bigint>"), "fingerprints")
+    key = row_key(docs, id_col)
+    fps = cut(fingerprints(docs.select(F.struct(F.col(id_col).cast("long").alias("id"), key["row"].alias("row")).alias(KEY), F.col(text_col).alias("text")), KEY, "text", size, "struct<id:bigint,row:bigint>"), "fingerprints")
     label = fingerprint_classes(fps.select(F.col("id.id").alias("id"), "fp"), bits).select("fp", "component")
-    first = fps.join(label, "fp").groupBy("component").agg(F.min(F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), F.col("id.row").alias("row"))).alias("one"))
-    kept = first.select(F.col("one.row").alias(KEY)).distinct()
-    return docs.withColumn(KEY, row).join(kept, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
+    return _first_rows(docs, key, fps.join(label, "fp").select("id", "component"))
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -269,14 +275,19 @@ def _alike(inner: Column, a: Column, b: Column) -> Column:
     return inner * (num + den) >= (a + b) * num
 
 
-def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block: int = BLOCK) -> DataFrame:
-    """Links ``(src, dst)`` that give the components of similar sets ``classes`` (digest, n, keys); ``texts`` (digest, text) has one of each set."""
+def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block: int = BLOCK, few: int = FEW) -> DataFrame:
+    """Links ``(src, dst)`` that give the components of similar sets.
+
+    ``classes`` is (digest, n, keys, id) with the id of one row of each set, ``texts``
+    (id, text). The ids whose texts are needed are broadcast if there are at most
+    ``few``, else joined.
+    """
     dealt = classes.select("digest", "n", F.explode(F.array_distinct("keys")).alias("key"))
     shared = dealt.groupBy("key").agg(F.min(F.struct("digest", "n")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     dealt = cut(dealt.join(shared, "key").select("key", "digest", "n", F.col("first.digest").alias("first"), F.col("first.n").alias("first_n")), "dealt")
     may = lambda a, b: _alike(F.least(a, b), a, b)
-    needed = dealt.select("digest").distinct()
-    sets = cut(_shingle_sets(texts.join(needed, "digest", "left_semi").select("digest", "text").dropDuplicates(["digest"]), size), "sets")
+    needed = cut(classes.join(dealt.select("digest").distinct(), "digest", "left_semi").select("id", "digest"), "needed")
+    sets = cut(_shingle_sets(texts.join(F.broadcast(needed) if needed.count() <= few else needed, "id").select("digest", "text").dropDuplicates(["digest"]), size), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
         sides = [sets.select(F.col("digest").alias(k), F.col("members").alias(f"m{k}")) for k in ("src", "dst")]
@@ -298,15 +309,14 @@ def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block:
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WIDE, block: int = BLOCK) -> DataFrame:
     """One row of each component of rows whose shingle sets have the Jaccard similarity ``SIMILAR`` or more, as :func:`keep_one` chooses it.
 
-    Texts without words are alike; a text of fewer than ``size`` words is one shingle.
+    Texts without words (null, empty, white space) are alike; a text of fewer than
+    ``size`` words is one shingle. Whole texts are read, however long. Rows that
+    repeat each other, in all columns or in some, are near duplicates, so one stays.
     """
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    keyed = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), row.alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
+    key = row_key(docs, id_col)
+    keyed = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), key["row"].alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = cut(sketches(keyed, size), "sketches")
-    classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("id.row").alias("row")), "classes")
-    texts = keyed.select(F.col("id.row").alias("row"), "text").join(classes.select("row", "digest"), "row")
-    label = connected_components(similar_links(classes, texts, size, block)).withColumnRenamed("node", "digest")
+    classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("id").alias("id")), "classes")
+    label = connected_components(similar_links(classes, keyed, size, block)).withColumnRenamed("node", "digest")
     named = found.select("id", "digest").join(label, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    first = named.groupBy("component").agg(F.min(F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), F.col("id.row").alias("row"))).alias("one"))
-    kept = first.select(F.col("one.row").alias(KEY)).distinct()
-    return docs.withColumn(KEY, row).join(kept, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
+    return _first_rows(docs, key, named)
