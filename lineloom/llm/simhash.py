@@ -23,8 +23,13 @@ Three bits reach few pairs of lower similarity, so :func:`keep_one_similar` link
 rows by the exact Jaccard similarity of their sets of five-word shingles. Candidates
 share a block pair of the fingerprint or one of ``BANDS`` keys, each of ``ROWS``
 minima of the set under other hashes: at similarity 0.8 one pair in 16,000 shares
-none. All candidates of a bucket meet its least set first; then only pairs that this
-left in different components are compared, so a group of near copies costs a star.
+none. Shingles that no other set has bound what a set can have in common with any, so
+heavily edited copies drop out before pairs are made. All candidates of a bucket meet
+its centre, the set with the least share of such shingles; then only pairs that this
+left in different components are looked at, inside blocks of bounded size: those that
+can be alike by their sizes and agree in ``AGREE`` of the minima are compared (at
+similarity 0.8 one pair in 50,000 agrees in fewer), so a group of near copies costs a
+star.
 """
 
 from __future__ import annotations
@@ -45,6 +50,8 @@ from lineloom.storage import cut
 SEED, SHINGLE, BITS, BLOCK, PIVOTS, FEW = 42, 3, 3, 2048, 24, 1_000_000
 #: Near copies by content: shingle length, least similarity as a fraction, keys and minima in a key.
 WIDE, SIMILAR, BANDS, ROWS = 5, (4, 5), 32, 6
+#: Least number of the minima that a pair has in common: 0.68 of them, 4 standard deviations under what 0.8 gives.
+AGREE = 130
 #: Five blocks of the 64 bits, and the ten pairs of them.
 EDGES = (0, 13, 26, 39, 52, 64)
 MASKS = [sum(((1 << EDGES[b + 1]) - (1 << EDGES[b])) for b in pair) for pair in combinations(range(5), 2)]
@@ -158,6 +165,19 @@ def _links(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield solve(blocks, fps)
 
 
+def _pair_blocks(rows: DataFrame, key: str, member: str, block: int) -> DataFrame:
+    """Rows dealt so that all pairs of a bucket meet: ``block`` and ``side``, 0 where all rows meet each other, else 1 and 2, which meet.
+
+    A bucket of more than ``block`` rows is cut into chunks, and each pair of chunks is a block of its own.
+    """
+    sizes = cut(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("chunks"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size"), "buckets")
+    mine = rows.join(sizes, key).withColumn("mine", F.expr(f"pmod(xxhash64({member}), chunks)").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+    side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("int")
+    named = F.when(F.col("chunks") == 1, F.col(key)).otherwise(F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")))
+    dealt = mine.withColumn("block", named).withColumn("side", side).drop(key, "chunks", "mine", "other")
+    return dealt.repartition("block").sortWithinPartitions("block", "side")
+
+
 def fingerprint_links(distinct: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """Links ``(src, dst)`` among distinct fingerprints ``fp``; large blocks give a spanning forest of theirs."""
     if not 0 <= bits <= 3:
@@ -165,12 +185,7 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS, block: int = BLOCK)
     signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
     keys = F.array(*[F.struct(F.lit(i).cast("byte").alias("band"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for i, m in enumerate(signed)])
     dealt = distinct.select("fp", F.explode(keys).alias("k")).select("fp", F.xxhash64("k.band", "k.key").alias("bucket"))
-    sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chunked = dealt.join(sizes, "bucket").withColumn("chunks", F.ceil(F.col("n") / block).cast("int")).withColumn("mine", F.expr("pmod(xxhash64(fp), chunks)").cast("int"))
-    blocks = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
-        F.when(F.col("chunks") == 1, F.col("bucket")).otherwise(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))).alias("block"), "fp"
-    )
-    ordered = blocks.repartition("block").sortWithinPartitions("block")
+    ordered = _pair_blocks(dealt, "bucket", "fp", block).select("block", "fp")
     return ordered.mapInArrow(lambda batches: _links(bits, batches), "src long, dst long")
 
 
@@ -224,14 +239,19 @@ def _factors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return odd(BANDS * ROWS), odd(BANDS * ROWS), odd(BANDS * ROWS + len(MASKS))
 
 
-def _keys(members: np.ndarray, fp: int, factors: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """Bucket keys of a set of shingle hashes: one for each band, then the fingerprint's block pairs."""
+def _minima(members: np.ndarray, factors: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The least value of a set of shingle hashes under each hash function."""
     a, b, mix = factors
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(members), 1024):
         least = np.minimum(least, (a[:, None] * members[None, at : at + 1024] + b[:, None]).min(axis=1))
-    bands = (least * mix[: len(a)]).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)
-    blocks = (np.array([fp & m for m in MASKS], np.uint64) + np.uint64(1)) * mix[len(a) :]
+    return least * mix[: len(a)]
+
+
+def _keys(least: np.ndarray, fp: int, factors: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Bucket keys of a set: one for each band of its minima, then the fingerprint's block pairs."""
+    bands = least.reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)
+    blocks = (np.array([fp & m for m in MASKS], np.uint64) + np.uint64(1)) * factors[2][len(least) :]
     return np.concatenate([bands, blocks]).view(np.int64)
 
 
@@ -240,22 +260,24 @@ def _members(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int = WIDE) -> DataFrame:
-    """``(id, digest, n, keys)`` of rows ``(id, text)``: a hash of the row's set of shingles, its size and its buckets."""
+    """``(id, digest, n, keys, minima)`` of rows ``(id, text)``: a hash of the row's set of shingles, its size, its buckets and 16 bits of each minimum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors()
         for b in batches:
-            digests, sizes, keys = [], [], []
+            digests, sizes, keys, minima = [], [], [], []
             for t in b.column(1):
                 hashes = list(shingle_hashes(t.as_py(), size))
                 members = _members(hashes)
+                least = _minima(members, factors)
                 digests.append(xxhash.xxh64_intdigest(members.tobytes(), SEED))
                 sizes.append(len(members))
-                keys.append(_keys(members, _majority(hashes), factors).tolist() if len(members) else [])
-            columns = [b.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "n", "keys"])
+                keys.append(_keys(least, _majority(hashes), factors).tolist() if len(members) else [])
+                minima.append((least >> np.uint64(48)).astype("<u2").tobytes())
+            columns = [b.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(minima, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "n", "keys", "minima"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest bigint, n bigint, keys array<bigint>")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest bigint, n bigint, keys array<bigint>, minima binary")
 
 
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -275,6 +297,39 @@ def _alike(inner: Column, a: Column, b: Column) -> Column:
     return inner * (num + den) >= (a + b) * num
 
 
+def _near_minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components that can be alike by their sizes and agree in ``AGREE`` of the minima; rows (block, side, digest, n, most, component, minima)."""
+    num, den = SIMILAR
+
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        side, digest, n, most, component = (rows.column(k).to_numpy() for k in range(1, 6))
+        minima = np.frombuffer(b"".join(rows.column(6).to_pylist()), "<u2").reshape(len(side), -1)
+        left, right = (np.flatnonzero(side == k) for k in ((0, 0) if not side[0] else (1, 2)))
+        src, dst = [], []
+        if len(left) and len(right) and (component != component[0]).any():
+            for x in left:
+                y = right[(component[right] != component[x]) & (np.minimum(most[right], most[x]) * (num + den) >= (n[right] + n[x]) * num)]
+                y = y[(minima[y] == minima[x]).sum(axis=1) >= AGREE]
+                src.append(np.minimum(digest[x], digest[y]))
+                dst.append(np.maximum(digest[x], digest[y]))
+        none = [np.zeros(0, np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(none + src)), pa.array(np.concatenate(none + dst))], names=["src", "dst"])
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        blocks = b.column(0).to_numpy()
+        bounds = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]])) if len(blocks) else np.zeros(0, np.int64)
+        for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if held and blocks[s] != last:
+                yield solve(pa.Table.from_batches(held).combine_chunks())
+                held = []
+            held.append(b.slice(s, e - s))
+            last = blocks[s]
+    if held:
+        yield solve(pa.Table.from_batches(held).combine_chunks())
+
+
 def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block: int = BLOCK, few: int = FEW) -> DataFrame:
     """Links ``(src, dst)`` that give the components of similar sets.
 
@@ -283,26 +338,31 @@ def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block:
     ``few``, else joined.
     """
     dealt = classes.select("digest", "n", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = dealt.groupBy("key").agg(F.min(F.struct("digest", "n")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    dealt = cut(dealt.join(shared, "key").select("key", "digest", "n", F.col("first.digest").alias("first"), F.col("first.n").alias("first_n")), "dealt")
-    may = lambda a, b: _alike(F.least(a, b), a, b)
+    dealt = cut(dealt.join(cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared"), "key"), "dealt")
     needed = cut(classes.join(dealt.select("digest").distinct(), "digest", "left_semi").select("id", "digest"), "needed")
     sets = cut(_shingle_sets(texts.join(F.broadcast(needed) if needed.count() <= few else needed, "id").select("digest", "text").dropDuplicates(["digest"]), size), "sets")
+    owners = sets.select("digest", F.explode("members").alias("member")).groupBy("member").agg(F.count(F.lit(1)).alias("sets"), F.min("digest").alias("digest"))
+    own = owners.where("sets = 1").groupBy("digest").agg(F.count(F.lit(1)).alias("own"))
+    most = F.col("n") - F.coalesce("own", F.lit(0))  # a set can have no more in common with any other
+    alive = cut(dealt.join(cut(own, "own"), "digest", "left").withColumn("most", most).where(_alike(F.col("most"), F.col("n"), F.col("most"))).select("key", "digest", "n", "most"), "alive")
+    centre = alive.groupBy("key").agg(F.min(F.struct((1 - F.col("most") / F.col("n")).alias("own"), "digest", "n", "most")).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    dealt = cut(alive.join(cut(centre.select("key", F.col("c.digest").alias("first"), F.col("c.n").alias("first_n"), F.col("c.most").alias("first_most")), "centres"), "key"), "dealt")
+    may = lambda a, b, x, y: _alike(F.least(a, b, x, y), a, b)
 
     def verify(pairs: DataFrame) -> DataFrame:
         sides = [sets.select(F.col("digest").alias(k), F.col("members").alias(f"m{k}")) for k in ("src", "dst")]
         both = pairs.join(sides[0], "src").join(sides[1], "dst")
         return both.where(_alike(F.size(F.array_intersect("msrc", "mdst")), F.size("msrc"), F.size("mdst"))).select("src", "dst")
 
-    stars = dealt.where((F.col("digest") != F.col("first")) & may(F.col("n"), F.col("first_n"))).select(F.col("first").alias("src"), F.col("digest").alias("dst")).distinct()
+    stars = dealt.where((F.col("digest") != F.col("first")) & may(F.col("n"), F.col("first_n"), F.col("most"), F.col("first_most"))).select(F.col("first").alias("src"), F.col("digest").alias("dst")).distinct()
     near = cut(verify(stars), "stars")
     named = dealt.join(connected_components(near).withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    named = cut(named.select("key", "digest", "n", "first", "component"), "named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("chunks")).where("lo < hi").select("key", "chunks")
-    rest = named.where("digest <> first").join(mixed, "key")  # the first of a bucket has met all others
-    left = rest.select("key", F.expr("pmod(xxhash64(digest), chunks)").cast("int").alias("chunk"), F.col("digest").alias("src"), F.col("n").alias("a"), F.col("component").alias("ca"))
-    right = rest.select("key", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), F.col("digest").alias("dst"), F.col("n").alias("b"), F.col("component").alias("cb"))
-    across = left.join(right, ["key", "chunk"]).where((F.col("ca") < F.col("cb")) & may(F.col("a"), F.col("b"))).select("src", "dst").distinct()
+    named = cut(named.select("key", "digest", "n", "most", "first", "component"), "named")
+    mixed = cut(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "mixed")
+    rest = named.where("digest <> first").join(mixed, "key").select("key", "digest", "n", "most", "component")  # the centre of a bucket has met all others
+    rest = cut(rest.join(classes.select("digest", "minima"), "digest"), "rest")
+    dealt = _pair_blocks(rest, "key", "digest", block).select("block", "side", "digest", "n", "most", "component", "minima")
+    across = dealt.mapInArrow(_near_minima, "src long, dst long").distinct()
     return near.unionByName(cut(verify(across), "across"))
 
 
@@ -316,7 +376,7 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     key = row_key(docs, id_col)
     keyed = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), key["row"].alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = cut(sketches(keyed, size), "sketches")
-    classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("id").alias("id")), "classes")
+    classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("minima").alias("minima"), F.min("id").alias("id")), "classes")
     label = connected_components(similar_links(classes, keyed, size, block)).withColumnRenamed("node", "digest")
     named = found.select("id", "digest").join(label, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     return _first_rows(docs, key, named)
