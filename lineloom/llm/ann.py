@@ -30,7 +30,9 @@ from pyspark.sql.window import Window
 
 from lineloom.storage import cut
 
-SAMPLE, PARTS, ROWS_PER_PART, BLOCK, GOAL, GRAPH, SEED = 32768, 512, 4096, 16384, 0.985, 20, 7
+SAMPLE, PARTS, ROWS_PER_PART, BLOCK, GOAL, GRAPH, SEED = 32768, 512, 4096, 16384, 0.95, 20, 7
+#: A table too small for ``ROWS_PER_PART`` has up to FEW parts of at least LEAST rows; one with under TINY rows for each neighbour asked for isn't cut.
+FEW, LEAST, TINY = 32, 64, 24
 
 
 @dataclass
@@ -121,10 +123,15 @@ def train(x: np.ndarray, parts: int, k: int, goal: float = GOAL) -> Router:
     for probes in range(1, parts + 1):
         if (place < probes).mean() >= goal:
             break
-    router.probes = min(parts, probes + 1)
+    router.probes = probes
     return router
 
 
+def part_count(n: int, k: int) -> int:
+    """Into how many parts ``n`` rows go."""
+    return 1 if n < TINY * k else min(PARTS, max(n // ROWS_PER_PART, min(FEW, n // LEAST)))
+
+
 def usable(vec: Column) -> Column:
     """Neither null nor zero, without null or non-finite components."""
     ok = F.forall(vec, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
@@ -151,12 +158,15 @@ def _rank(k: int, d: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         by = by[nth(same[by], ids[by]) < k]  # k rows of an id serve any other id
         keep = np.sort(by[nth(same[by]) < 2 * k])  # a query loses at most the k rows of its own id
         ids, vecs = ids[keep], vecs[keep]
+        longest = np.linalg.norm(vecs, axis=1).max()
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for at in range(0, len(asked), 512):
             s = q[at : at + 512] @ vecs.T
-            s[asked[at : at + 512, None] == ids[None, :]] = -np.inf
-            edge = np.partition(s, max(0, s.shape[1] - k), axis=1)[:, max(0, s.shape[1] - k)] - 1e-9
-            i, j = np.nonzero((s >= edge[:, None]) & (s > -np.inf))
+            own = asked[at : at + 512, None] == ids[None, :]
+            s[own] = -np.inf
+            edge = np.partition(s, max(0, s.shape[1] - k), axis=1)[:, max(0, s.shape[1] - k)]
+            error = 4 * d * np.finfo(float).eps * np.linalg.norm(q[at : at + 512], axis=1) * longest  # of a product in another order of addition
+            i, j = np.nonzero((s >= (edge - error)[:, None]) & ~own)
             score = (q[at + i] * vecs[j]).sum(axis=1)
             order = np.lexsort((ids[j], -score, i))
             i, j, score = i[order], j[order], score[order]
@@ -202,7 +212,7 @@ def _search(placed: DataFrame, asked: DataFrame, k: int, d: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", parts: int | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query row.
 
     Queries are the usable rows where ``queries`` holds; candidates are all usable
@@ -210,7 +220,9 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
     null, zero, hold null or non-finite components, or have another dimension than
     most. Ties go to the smaller id. Rows that repeat an id are candidates of their
     own; a query id asks once, with the smallest of its vectors. With fewer than
-    ``k`` candidates all of them are returned. Other columns are not read.
+    ``k`` candidates all of them are returned, and an empty table has no rows. Other
+    columns are not read, whatever their names. ``parts`` overrides
+    :func:`part_count`; with one part the search is exact.
     """
     spark = table.sparkSession
     rows = table.where(F.col(id_col).isNotNull() & usable(F.col(vec_col))).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), F.coalesce(queries, F.lit(False)).alias("asks"))
@@ -219,7 +231,7 @@ def nearest(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d, n = dims
     rows = rows.where(F.size("vec") == d)
-    parts = int(min(PARTS, max(1, n // ROWS_PER_PART)))
+    parts = part_count(n, k) if parts is None else parts
     most = min(SAMPLE, 512 * parts)
     hashed = rows.select("vec", F.xxhash64(F.lit(SEED), "id", "vec").alias("h")).where(F.col("h").bitwiseAND(0xFFFFFF) < int(min(1.0, 4 * most / n) * (1 << 24)))  # thinned before it is ordered
     drawn = hashed.orderBy("h").limit(most).select("vec")

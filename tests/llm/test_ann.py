@@ -59,3 +59,31 @@ def test_query_id_repeats_inside_many_copies(spark):
     rows = [r for r in rows if r[0] != 20 or r[1] == rows[7][1]]  # id 20 asks with the copied vector and holds 40 of its rows
     got = A.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
     equal(got, brute(rows, 20))
+
+
+def test_recall_on_the_given_vectors(spark):
+    """Several parts, fewer probes than parts, every query."""
+    for sf, size in (("0.01", 500), ("0.1", 2000)):
+        df = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+        x = np.array([r.embedding for r in df.orderBy("vec_id").collect()], float)
+        parts = A.part_count(len(x), 20)
+        router = A.train(x, parts, 20)
+        assert len(x) == size and parts > 1 and router.probes < parts
+        want = {(r.query_id, r.vec_id) for r in A.nearest(df, F.col("vec_id") % 20 == 0, parts=1).collect()}
+        got = A.nearest(df, F.col("vec_id") % 20 == 0).collect()
+        recall = len({(r.query_id, r.vec_id) for r in got} & want) / len(want)
+        print(f"sf{sf}: {parts} parts, {router.probes} probes, recall {recall:.3f}")
+        assert len(got) == len(want) and recall >= 0.9
+
+
+def test_near_ties_of_long_vectors(spark):
+    """Products that differ by less than their rounding are ordered by their exact values, whatever the vectors' length."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=8) * 1e6
+    rows = [(i, (base + rng.normal(size=8) * 1e-3).tolist(), 0, "x") for i in range(200)]
+    df = spark.createDataFrame([(i, v, 0, i) for i, v, *_ in rows], "vec_id long, embedding array<double>, block int, id long")  # names that the search uses itself
+    got = A.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    v = {i: np.array(x) for i, x, *_ in rows}
+    for q in (0, 20, 180):
+        want = sorted((-(v[q] * v[i]).sum(), i) for i in v if i != q)[:20]
+        assert [(r.vec_id, r.score) for r in got if r.query_id == q] == [(i, -s) for s, i in want]
