@@ -8,8 +8,9 @@ Mahalanobis log densities, trusted less the fewer words a text has, plus the log
 
 Scale. Texts are read once; the vectors stand in a narrow table in shared storage,
 from which training and scoring read. Training needs class counts, sums and cross
-products only: each task sends one small matrix per class, whatever its rows, so
-every labelled training row counts and no sample is drawn. Nothing else moves.
+products only: each task sends one small matrix per class, whatever its rows. The
+labels learnt from are all up to ``LEARN``, a hashed sample of about so many beyond it,
+so they can be broadcast. Nothing else moves.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from lineloom.storage import cut
 
 FEATURES = ("log_words", "word_len", "upper", "digit", "symbol", "space", "newline", "high_byte", "distinct_words", "top_word", "distinct_lines", "symbol_words", "upper_words", "entropy", "packed", "line_len")
-POOLED, RIDGE, TEMPER, WORDS, CUT = 0.2, 0.02, 3.0, 12, 0.3
+POOLED, RIDGE, TEMPER, WORDS, CUT, LEARN = 0.2, 0.02, 3.0, 12, 0.3, 1_000_000
 
 _KIND = np.zeros((256, 6))
 _KIND[65:91, 0] = 1
@@ -82,7 +83,7 @@ def _matrix(b: pa.RecordBatch, column: int) -> np.ndarray:
 
 @dataclass
 class Discriminant:
-    """Standardisation, and per class the mean, Cholesky factor, log determinant and log prior."""
+    """Standardisation, and per class the mean, inverse Cholesky factor, log determinant and log prior."""
 
     centre: np.ndarray
     scale: np.ndarray
@@ -94,8 +95,8 @@ class Discriminant:
             return np.full(len(x), self.only)
         z = (x - self.centre) / self.scale
         logs = []
-        for mean, factor, log_det, _ in self.classes:
-            y = np.linalg.solve(factor, (z - mean).T)
+        for mean, factor, log_det, _ in self.classes:  # the factor's inverse, computed once
+            y = factor @ (z - mean).T
             logs.append(-0.5 * ((y * y).sum(axis=0) + log_det))
         trust = -np.expm1(-np.expm1(x[:, 0]) / WORDS)  # a few words say little about a document
         odds = trust * (logs[1] - logs[0]) / TEMPER + self.classes[1][3] - self.classes[0][3]
@@ -133,7 +134,7 @@ def fit(rows: DataFrame, pooled: float = POOLED, ridge: float = RIDGE) -> Discri
         s = (1 - pooled) * own[c] + pooled * shared
         s = (1 - ridge) * s + ridge * max(np.trace(s) / d, 1e-6) * np.eye(d)
         factor = np.linalg.cholesky(s)
-        classes.append((means[c], factor, 2 * np.log(np.diag(factor)).sum(), math.log(n[c] / n.sum())))
+        classes.append((means[c], np.linalg.inv(factor), 2 * np.log(np.diag(factor)).sum(), math.log(n[c] / n.sum())))
     return Discriminant(centre, scale, classes)
 
 
@@ -142,15 +143,28 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Discriminant:
-    """Fits on the rows of a vector table that have a label and aren't held out."""
-    truth = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").distinct()
-    return fit(table.where(~held_out(F.col("id"))).join(truth, "id").select("x", "y"))
+def lessons(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", most: int = LEARN) -> DataFrame:
+    """``(id, y)`` of the distinct labels 0 and 1 outside the held-out fold; of more than ``most`` about so many, chosen by a hash."""
+    truth = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").distinct().where(F.col("id").isNotNull() & ~held_out(F.col("id")))
+    n = truth.count()
+    return truth if n <= most else truth.where(F.pmod(F.xxhash64(F.lit("lesson"), "id"), F.lit(1 << 30)) < int(most / n * (1 << 30)))
+
+
+def train(table: DataFrame, truth: DataFrame) -> Discriminant:
+    """Fits on the rows of a vector table that :func:`lessons` has."""
+    return fit(table.join(F.broadcast(truth), "id").select("x", "y"))  # about LEARN rows at most
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = CUT) -> DataFrame:
-    """The rows of ``docs`` that :func:`classify` would predict 1 for, all columns kept and no text moved."""
-    model = train(cut(vectors(docs, id_col, text_col), "vectors"), labels, id_col, label_col)
+    """The rows of ``docs`` that :func:`classify` would predict 1 for, all columns kept and no text moved.
+
+    Statistics are computed once for the rows learnt from and once for all rows that
+    are scored. Null and empty texts, null ids and repeated rows are scored like any
+    other; columns of any name are kept.
+    """
+    truth = cut(lessons(labels, id_col, label_col), "lessons")
+    known = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(truth.select("id").distinct()), "id", "left_semi")
+    model = train(cut(vectors(known, "id", "text"), "vectors"), truth)
 
     @F.pandas_udf("boolean")
     def good(text: pd.Series) -> pd.Series:
@@ -163,14 +177,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = CUT) -> DataFrame:
     """``(id_col, held_out, score, predicted)`` for every row of ``docs``.
 
-    Learns from all label rows whose id is not held out and is found in ``docs``;
-    labels other than 0 and 1, null labels and null ids are ignored, repeated equal
-    labels count once. Empty and null texts have the all-zero vector. With one class
+    Learns from the label rows whose id is not held out and is found in ``docs``, all
+    of them up to ``LEARN``; labels other than 0 and 1, null labels and null ids are
+    ignored, repeated equal labels count once, and of conflicting ones each is learnt.
+    Repeated rows are learnt from and scored each for itself. Whole texts are read. Empty and null texts have the all-zero vector. With one class
     only the score is its smoothed share, without labels 0.5. Only the id and the
     text are read, so other columns and their names don't matter.
     """
     table = cut(vectors(docs, id_col, text_col), "vectors")
-    model = train(table, labels, id_col, label_col)
+    model = train(table, lessons(labels, id_col, label_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 
 from lineloom.llm import quality as Q
@@ -48,3 +49,39 @@ def test_one_class_no_labels_no_rows(tables):
     assert {round(r.score, 6) for r in Q.classify(docs, labels.limit(0)).collect()} == {0.5}
     assert {r.predicted for r in Q.classify(docs, labels.where("quality = 1")).collect()} == {1}
     assert Q.classify(docs.limit(0), labels).count() == 0
+
+
+def test_against_a_plain_discriminant(tables):
+    """The same classifier in a few lines: dense matrices, explicit inverses, no Spark."""
+    docs, labels = tables
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    truth = {(r.doc_id, r.quality) for r in labels.collect() if r.doc_id is not None and r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 5}
+    x = np.array([Q.statistics(t) for _, t in texts])
+    pairs = [(k, y) for k, (i, _) in enumerate(texts) for j, y in truth if i == j]
+    rows, y = x[[k for k, _ in pairs]], np.array([y for _, y in pairs])
+    centre, scale = rows.mean(axis=0), np.sqrt(np.maximum(rows.var(axis=0), 1e-8))
+    z, zx, d = (rows - centre) / scale, (x - centre) / scale, x.shape[1]
+    own = [np.cov(z[y == c].T, bias=True) for c in (0, 1)]
+    both = sum(own[c] * (y == c).mean() for c in (0, 1))
+    logs = []
+    for c in (0, 1):
+        s = (1 - Q.POOLED) * own[c] + Q.POOLED * both
+        s = (1 - Q.RIDGE) * s + Q.RIDGE * np.trace(s) / d * np.eye(d)
+        far = zx - z[y == c].mean(axis=0)
+        logs.append(-0.5 * (np.einsum("ij,jk,ik->i", far, np.linalg.inv(s), far) + np.linalg.slogdet(s)[1]))
+    trust = 1 - np.exp(-np.expm1(x[:, 0]) / Q.WORDS)
+    odds = trust * (logs[1] - logs[0]) / Q.TEMPER + np.log((y == 1).mean() / (y == 0).mean())
+    want = sorted(((i is None, i or 0), round(float(s), 6)) for (i, _), s in zip(texts, 1 / (1 + np.exp(-np.clip(odds, -700, 700))), strict=True))
+    assert sorted(((r.doc_id is None, r.doc_id or 0), round(r.score, 6)) for r in Q.classify(docs, labels).collect()) == want
+
+
+def test_conflicting_labels_long_texts_and_the_bound(tables, spark, monkeypatch):
+    docs, labels = tables
+    docs = docs.unionByName(spark.createDataFrame([(6000, "many words and lines\n" * 60_000, "c")], docs.schema))
+    both = labels.unionByName(labels.where("doc_id < 40").selectExpr("doc_id", "1 - quality as quality", "score"))
+    assert {r.id for r in Q.lessons(both).collect()} == {r.id for r in Q.lessons(labels).collect()}
+    assert Q.lessons(both).where("id < 40").count() == 2 * Q.lessons(labels).where("id < 40").count()  # each is learnt
+    assert Q.classify(docs, both).where("doc_id = 6000").first().score is not None
+    assert 0 < Q.lessons(labels, most=100).count() < 200
+    monkeypatch.setattr(Q, "LEARN", 100)
+    assert Q.keep_good(docs, labels).count() > 200
