@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lineloom.operators.numbering import ranked
 
-def stride(matches: DataFrame, keys: list[str], quota: int) -> DataFrame:
-    """Evenly spaced matches of each key, at most ``quota``, with their ordinal ``rn`` and pick ``k``."""
-    by = Window.partitionBy(*keys)
+
+def stride(matches: DataFrame, quota: int) -> DataFrame:
+    """Evenly spaced matches of each dataset, at most ``quota``, with their ordinal ``rn`` and pick ``k``."""
     step = F.greatest(F.lit(1).cast("bigint"), F.expr(f"n div {quota}"))
-    ranked = matches.withColumn("rn", F.row_number().over(by.orderBy("line_number"))).withColumn("n", F.count(F.lit(1)).over(by)).withColumn("step", step)
-    return ranked.where(f"pmod(rn - 1, step) = 0 and (rn - 1) div step < {quota}").withColumn("k", F.expr("(rn - 1) div step").cast("int")).drop("step")
+    return ranked(matches).withColumn("step", step).where(f"pmod(rn - 1, step) = 0 and (rn - 1) div step < {quota}").withColumn("k", F.expr("(rn - 1) div step").cast("int")).drop("step")
 
 
 def context(lines: DataFrame, anchors: DataFrame, keys: list[str], before: int = 5, after: int = 5) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lineloom.functions import text as X
 from lineloom.operators import positional as P
+from lineloom.operators.numbering import ranked
 from lineloom.plans.base import DL, EL, TL, query
 from lineloom.sources import lines as L
 
@@ -23,20 +24,18 @@ def _matches(spark, d):
 
 @query(f"WITH {EL}, {_MATCH} SELECT dataset, line_number, row_number() OVER (PARTITION BY dataset ORDER BY line_number) AS nth FROM m")
 def anchor_matches(spark, d):
-    from pyspark.sql.window import Window
-
-    return _matches(spark, d).select("dataset", "line_number", F.row_number().over(Window.partitionBy("dataset").orderBy("line_number")).cast("long").alias("nth"))
+    return ranked(_matches(spark, d)).select("dataset", "line_number", F.col("rn").alias("nth"))
 
 
 @query(f"WITH {EL}, {_PICK} SELECT dataset, line_number, rn, n, k, {_ORD} AS ordinal FROM a")
 def anchor_stride(spark, d):
-    return P.stride(_matches(spark, d), ["dataset"], QUOTA).select("dataset", "line_number", F.col("rn").cast("long").alias("rn"), "n", "k", X.ordinal(F.col("rn")).alias("ordinal"))
+    return P.stride(_matches(spark, d), QUOTA).select("dataset", "line_number", F.col("rn").cast("long").alias("rn"), "n", "k", X.ordinal(F.col("rn")).alias("ordinal"))
 
 
 @query(f"WITH {EL}, {_PICK} SELECT a.dataset, k, a.line_number AS anchor, el.line_number, el.text FROM a JOIN el ON el.dataset = a.dataset AND el.line_number BETWEEN a.line_number - 5 AND a.line_number + 5")
 def context_window(spark, d):
     lines = L.event_lines(spark, d)
-    return P.context(lines, P.stride(_matches(spark, d), ["dataset"], QUOTA), ["k"])
+    return P.context(lines, P.stride(_matches(spark, d), QUOTA), ["k"])
 
 
 @query(f"WITH {DL}, a AS (SELECT dataset, line_number AS anchor FROM dl WHERE contains(text, '{DOC_ANCHOR}')) SELECT a.dataset, anchor, count(*) AS n, min(dl.line_number) AS lo, max(dl.line_number) AS hi, sum(length(dl.text))::BIGINT AS chars FROM a JOIN dl ON dl.dataset = a.dataset AND dl.line_number BETWEEN anchor - 3 AND anchor + 3 GROUP BY ALL")

@@ -74,7 +74,7 @@ _MEDIUM = f"""{EL}, m AS (SELECT dataset, line_number, row_number() OVER (PARTIT
 @query(f"WITH {_MEDIUM} SELECT dataset || '_v1_semantic_user_12_' || k AS id, dataset || ':semantic:user_12_' || k AS group_id, CASE k WHEN 0 THEN 'explain' WHEN 1 THEN 'describe' WHEN 2 THEN 'summarize' ELSE 'interpret' END AS phrasing_family, (SELECT count(*) FROM el WHERE el.dataset = a.dataset AND el.line_number BETWEEN a.line_number - 5 AND a.line_number + 5) AS cited FROM a")
 def medium_records(spark, d):
     lines = L.event_lines(spark, d)
-    picks = P.stride(lines.where(F.lower("text").contains("user=12")), ["dataset"], 4)
+    picks = P.stride(lines.where(F.lower("text").contains("user=12")), 4)
     asked = R.window_questions(picks, "user=12")
     near = P.context(lines, asked, ["id", "group_id", "phrasing_family"])
     return near.groupBy("id", "group_id", "phrasing_family").agg(F.count(F.lit(1)).alias("cited"))

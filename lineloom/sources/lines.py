@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineloom.functions import text as X
@@ -33,27 +33,35 @@ def read_lines(spark: SparkSession, path: str, dataset: str | None = None) -> Da
     return lines if dataset is None else lines.where(F.col("dataset") == dataset)
 
 
+#: What tells the rows of a table apart: their file and their place in it.
+ROW = ("file", "row")
+
+
+def _records(spark: SparkSession, sf_dir: str, name: str, dataset: Column, order: Column, tie: Column, lines: Column) -> DataFrame:
+    rows = table(spark, sf_dir, name)
+    return rows.select(dataset.alias("dataset"), order.alias("ord"), tie.alias("tie"), F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), lines.alias("lines"))
+
+
+def _numbered(records: DataFrame) -> DataFrame:
+    return number_lines(records, row=ROW).withColumn("line_number", F.col("line_number").cast("int"))  # the tables' contract; datasets of over 2**31 lines use number_lines itself
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts, one dataset for each language."""
-    d = table(spark, sf_dir, "documents")
-    return number_lines(d.select(F.col("lang").alias("dataset"), F.col("doc_id").alias("ord"), F.xxhash64("text").alias("tie"), X.split_lines(F.col("text")).alias("lines")))
+    return _numbered(_records(spark, sf_dir, "documents", F.col("lang"), F.col("doc_id"), F.xxhash64("text"), X.split_lines(F.col("text"))))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log lines, one dataset for each type."""
-    e = table(spark, sf_dir, "events")
     text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" user="), F.col("user_id"), F.lit(" type="), F.col("event_type"), F.lit(" props="), F.col("props"))
-    return number_lines(e.select(F.col("event_type").alias("dataset"), F.col("event_id").alias("ord"), F.lit(0).alias("tie"), F.array(text).alias("lines")))
+    return _numbered(_records(spark, sf_dir, "events", F.col("event_type"), F.col("event_id"), F.lit(0), F.array(text)))
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pages, one dataset for each host."""
-    p = table(spark, sf_dir, "pages")
-    host = F.regexp_extract("url", "://([^/:]+)", 1)
-    return number_lines(p.select(host.alias("dataset"), F.col("page_id").alias("ord"), F.lit(0).alias("tie"), X.split_lines(F.col("html")).alias("lines")))
+    return _numbered(_records(spark, sf_dir, "pages", F.regexp_extract("url", "://([^/:]+)", 1), F.col("page_id"), F.lit(0), X.split_lines(F.col("html"))))
 
 
 def turn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns, one dataset for each role."""
-    c = table(spark, sf_dir, "conversations")
-    return number_lines(c.select(F.col("role").alias("dataset"), F.col("conv_id").alias("ord"), F.col("turn").alias("tie"), X.split_lines(F.col("text")).alias("lines")))
+    return _numbered(_records(spark, sf_dir, "conversations", F.col("role"), F.col("conv_id"), F.col("turn"), X.split_lines(F.col("text"))))
