@@ -5,6 +5,8 @@ All of them are built-in expressions and stay inside generated code.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,9 +45,36 @@ def java_pattern(pattern: str) -> str:
     return pattern.replace("(?P<", "(?<")
 
 
+def group_number(pattern: str, name: str = "key") -> int:
+    """The number of a named group: how many groups open up to it."""
+    number, at, inside = 0, 0, False
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            at += 1
+        elif inside:
+            inside = c != "]"
+        elif c == "[":
+            inside = True
+            at += pattern[at + 1 : at + 2] in ("]", "^") or 0
+        elif c == "(":
+            named = re.match(r"\(\?P?<(\w+)>", pattern[at:])
+            number += bool(named) or pattern[at + 1 : at + 2] != "?"
+            if named and named[1] == name:
+                return number
+        at += 1
+    raise ValueError(f"{pattern} has no group named {name}")
+
+
 def group_key(text: Column, pattern: str) -> Column:
-    """The first match's group, null without a match."""
-    return F.nullif(F.regexp_extract(text, java_pattern(pattern), 1), F.lit(""))
+    """The first match's group named ``key``, null without a match."""
+    return F.nullif(F.regexp_extract(text, java_pattern(pattern), group_number(pattern)), F.lit(""))
+
+
+def statement_of(reply: Column) -> Column:
+    """The statement in a reply: what a fence holds if there is one, without its semicolon."""
+    fenced = F.regexp_extract(reply, r"(?s)```(?:sql|SQL)?\s*(.*?)```", 1)
+    return F.trim(F.regexp_replace(F.trim(F.when(fenced != "", fenced).otherwise(reply)), r";\s*$", ""))
 
 
 def slug(text: Column) -> Column:

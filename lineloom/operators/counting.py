@@ -44,14 +44,32 @@ def cited_lines(matches: DataFrame, keys: list[str], most: int = 5) -> DataFrame
     return matches.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
 
 
+#: The names of character classes in brackets, and theirs in Java.
+CLASSES = {"alpha": "Alpha", "digit": "Digit", "alnum": "Alnum", "upper": "Upper", "lower": "Lower", "space": "Space", "punct": "Punct", "xdigit": "XDigit", "blank": "Blank", "cntrl": "Cntrl", "graph": "Graph", "print": "Print"}
+
+
+#: Word starts, word ends and either in the one spelling, and in Java's.
+EDGES = {r"\m": r"\b(?=\w)", r"\M": r"\b(?<=\w)", r"\y": r"\b"}
+
+
+def java_regex(pattern: Column) -> Column:
+    """``[[:digit:]]`` and its like, word edges and named groups, in the spelling that Spark's regexes know."""
+    for name, java in CLASSES.items():
+        pattern = F.replace(pattern, F.lit(f"[:{name}:]"), F.lit(rf"\p{{{java}}}"))
+    for one, other in [*EDGES.items(), ("(?P<", "(?<")]:
+        pattern = F.replace(pattern, F.lit(one), F.lit(other))
+    return pattern
+
+
 def regex_matches(lines: DataFrame, pattern: str, case_sensitive: bool = False) -> DataFrame:
     """Lines that the pattern finds anywhere."""
-    p = X.java_pattern(pattern)
-    return lines.where(F.col("text").rlike(p if case_sensitive else f"(?iu){p}"))
+    return lines.where(F.rlike("text", java_regex(F.lit(pattern if case_sensitive else f"(?iu){pattern}"))))
 
 
-def display_sql(dataset: Column, literal: Column, case_sensitive: Column) -> Column:
-    """The statement shown for a literal count. It is for reading only: matching uses plain substrings."""
+def display_sql(dataset: Column, literal: Column, case_sensitive: Column, pattern: Column | None = None) -> Column:
+    """The statement shown for a count of a literal, or of a regex where ``pattern`` holds. It is for reading only: matching uses plain substrings."""
     quoted = F.replace(literal, F.lit("'"), F.lit("''"))
-    op = F.when(case_sensitive, "LIKE").otherwise("ILIKE")
-    return F.concat(F.lit("SELECT line_number, text FROM lines WHERE dataset = '"), dataset, F.lit("' AND text "), op, F.lit(" '%"), quoted, F.lit("%' ORDER BY line_number"))
+    like = F.concat(F.when(case_sensitive, "LIKE").otherwise("ILIKE"), F.lit(" '%"), quoted, F.lit("%'"))
+    if pattern is not None:
+        like = F.when(pattern, F.concat(F.when(case_sensitive, "~").otherwise("~*"), F.lit(" '"), quoted, F.lit("'"))).otherwise(like)
+    return F.concat(F.lit("SELECT line_number, text FROM lines WHERE dataset = '"), dataset, F.lit("' AND text "), like, F.lit(" ORDER BY line_number"))

@@ -66,14 +66,62 @@ def human_reviewers(reviewers, generated: str):
     return F.filter(reviewers, lambda r: ~r.startswith(generated))
 
 
-def payload(records: DataFrame, generated: str) -> DataFrame:
-    """``(dataset, corpus_sha256, digests, questions)``: each dataset's records as one ordered array.
+def payload(records: DataFrame, generated: str, order: str = "id") -> DataFrame:
+    """``(dataset, corpus_sha256, digests, questions)``: each dataset's records as one array in the given order.
 
+    The arrays are meant for a review tool, so a dataset's questions must fit one row.
     Records without evidence are left out; more than one corpus digest in a dataset shows in ``digests``.
     """
     x = records.where(F.size("evidence.refs") > 0).withColumn("dataset", F.split_part(F.element_at("evidence.refs", 1).id, F.lit(":"), F.lit(1)))
-    q = F.struct("id", "question", "expected_answer", "answer_type", "difficulty", "split", human_reviewers(F.col("reviewers"), generated).alias("reviewers"))
-    return x.groupBy("dataset").agg(F.min("gold_provenance.corpus_sha256").alias("corpus_sha256"), F.count_distinct("gold_provenance.corpus_sha256").alias("digests"), F.array_sort(F.collect_list(q)).alias("questions"))
+    q = F.struct(F.col(order).alias("at"), F.struct("id", "question", "expected_answer", "answer_type", "difficulty", "split", human_reviewers(F.col("reviewers"), generated).alias("reviewers")).alias("q"))
+    questions = F.transform(F.array_sort(F.collect_list(q)), lambda v: v.q)
+    return x.groupBy("dataset").agg(F.min("gold_provenance.corpus_sha256").alias("corpus_sha256"), F.count_distinct("gold_provenance.corpus_sha256").alias("digests"), questions.alias("questions"))
+
+
+def payload_problems(records: DataFrame, layout: DataFrame) -> DataFrame:
+    """``(problem, dataset, id)`` that a payload must not have; ``layout`` is (dataset, path, version).
+
+    Records without evidence, datasets of which the corpus isn't pinned, and datasets whose records name several corpora.
+    """
+    x = records.withColumn("dataset", F.split_part(F.try_element_at("evidence.refs", F.lit(1)).id, F.lit(":"), F.lit(1)))
+    none = x.where(F.coalesce(F.size("evidence.refs"), F.lit(0)) < 1).select(F.lit("no_evidence").alias("problem"), F.lit(None).cast("string").alias("dataset"), "id")
+    cited = x.where(F.size("evidence.refs") > 0)
+    unpinned = cited.join(layout.where("version is not null"), "dataset", "left_anti").groupBy("dataset").agg(F.min("id").alias("id"))
+    several = cited.groupBy("dataset").agg(F.count_distinct("gold_provenance.corpus_sha256").alias("n"), F.min("id").alias("id")).where("n > 1")
+    return none.unionByName(unpinned.select(F.lit("unpinned").alias("problem"), "dataset", "id")).unionByName(several.select(F.lit("several_corpora").alias("problem"), "dataset", "id"))
+
+
+def dataset_layout(manifest: DataFrame) -> DataFrame:
+    """``(dataset, path, version)`` of a manifest (name, local_filename, raw_path, pinned_commit)."""
+    return manifest.select(F.col("name").alias("dataset"), F.col("local_filename").alias("path"), F.col("pinned_commit").alias("version"))
+
+
+def attach_checks(records: DataFrame, checks: DataFrame) -> DataFrame:
+    """Records with the verdicts of ``checks`` (id, dimension, verdict, detail); any ``no`` puts a record in review."""
+    found = checks.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dimension", "verdict", "detail"))).alias("found"))
+    x = records.join(found, "id", "left")
+    refused = F.coalesce(F.exists("found", lambda c: c.verdict == "no"), F.lit(False))
+    return x.withColumn("validation", F.col("validation").withField("checks", F.coalesce("found", "validation.checks"))).withColumn("review_status", F.when(refused, "in_review").otherwise(F.col("review_status"))).drop("found")
+
+
+#: Routes whose answers a statement can settle.
+SETTLED = ("sql", "keyword")
+
+
+def verification(records: DataFrame, results: DataFrame, most: int | None = None) -> DataFrame:
+    """``(id, answer_type, agrees, problem)`` of the records that statements can settle, the first ``most`` by id if given.
+
+    ``results`` is (id, value, problem); a record without a result disagrees.
+    """
+    due = records.where(F.col("routing_path").isin(*SETTLED))
+    due = due.orderBy("id").limit(most) if most is not None else due
+    told = agreement(due, results.select("id", "value"))
+    return told.join(results.select("id", "problem"), "id", "left").select("id", "answer_type", "agrees", F.when(~F.col("agrees"), F.coalesce("problem", F.lit("another answer"))).alias("problem"))
+
+
+def tally(verified: DataFrame) -> DataFrame:
+    """``(answer_type, checked, agreed, disagreed)``."""
+    return verified.groupBy("answer_type").agg(F.count(F.lit(1)).alias("checked"), F.count_if("agrees").alias("agreed"), F.count_if(~F.col("agrees")).alias("disagreed"))
 
 
 def agreement(records: DataFrame, results: DataFrame) -> DataFrame:

@@ -98,6 +98,12 @@ def regex_count_cs(spark, d):
     return C.regex_matches(L.document_lines(spark, d), "^[A-Z][a-z]+ of ", case_sensitive=True).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"WITH {EL} SELECT dataset, count(*) AS n, min(line_number) AS first_line FROM el WHERE regexp_matches(text, '(?i)[[:digit:]]{{2}}:0[0-4]:.*TYPE=[a-z]+ props=.*[3-7]}}') GROUP BY dataset")
+def regex_classes(spark, d):
+    """A regex with a named class, without regard to case."""
+    return C.regex_matches(L.event_lines(spark, d), "[[:digit:]]{2}:0[0-4]:.*TYPE=[a-z]+ props=.*[3-7]}").groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.min("line_number").alias("first_line"))
+
+
 @query(f"WITH {DL}, s AS (SELECT * FROM {_DSPEC}) SELECT s.dataset, spec_id, count(*) FILTER (WHERE NOT {_HIT}) AS n_without FROM dl JOIN s USING (dataset) GROUP BY ALL")
 def absence_count(spark, d):
     hit = X.contains(F.col("text"), F.col("literal"), F.col("case_sensitive"))

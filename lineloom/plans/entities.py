@@ -12,7 +12,7 @@ from lineloom.sources import lines as L
 USER, K, LEAST, SIZE, SETS, CAP = r"user=(?P<key>[0-9]+)", r'"k": (?P<key>[0-9]+)', 5, 2, 3, 6
 _USERS = "u AS (SELECT dataset, line_number, text, regexp_extract(text, 'user=([0-9]+)', 1) AS key FROM el WHERE regexp_matches(text, 'user=([0-9]+)'))"
 _GROUPS = f"{_USERS}, g AS (SELECT dataset, key, count(*) AS n FROM u GROUP BY ALL HAVING count(*) >= {LEAST})"
-_PAIRS = f"""x AS (SELECT dataset, regexp_extract(text, 'user=([0-9]+)', 1) AS a, regexp_extract(text, '"k": ([0-9]+)', 1) AS b FROM el WHERE dataset = 'error'),
+_PAIRS = f"""x AS (SELECT dataset, regexp_extract(text, 'user=([0-9]+)', 1) AS a, regexp_extract(text, '"k": ([0-9]+)', 1) AS b FROM el),
     ga AS (SELECT dataset, a, count(*) AS na FROM x GROUP BY ALL HAVING count(*) >= {LEAST}), gb AS (SELECT dataset, b, count(*) AS nb FROM x GROUP BY ALL HAVING count(*) >= {LEAST}),
     p AS (SELECT dataset, a, b, na, nb, row_number() OVER (PARTITION BY dataset ORDER BY na + nb DESC, a, b) AS rk FROM (SELECT DISTINCT dataset, a, b FROM x) JOIN ga USING (dataset, a) JOIN gb USING (dataset, b))"""
 _CAT = "CASE " + " ".join(f"WHEN contains(lower(text), '{k}') THEN '{k}'" for k in X.SALIENT) + " END"
@@ -33,16 +33,21 @@ def comparative_sets(spark, d):
 
 
 def _pairs(spark, d):
-    return G.proven_pairs(L.event_lines(spark, d).where("dataset = 'error'"), USER, K, LEAST)
+    return G.proven_pairs(L.event_lines(spark, d), USER, K, LEAST)
 
 
 @query(f"WITH {EL}, {_PAIRS} SELECT * FROM p")
 def proven_pairs(spark, d):
-    return _pairs(spark, d).withColumn("rk", F.col("rk").cast("long"))
+    return _pairs(spark, d)
 
 
-@query(f"""WITH {EL}, {_PAIRS}, o AS (SELECT list_reduce(list_prepend([]::STRUCT(dataset VARCHAR, a VARCHAR, b VARCHAR, rk BIGINT)[], list([{{'dataset': dataset, 'a': a, 'b': b, 'rk': rk}}] ORDER BY rk)),
-    lambda acc, x: CASE WHEN list_contains([y.a for y in acc], x[1].a) OR list_contains([y.b for y in acc], x[1].b) THEN acc ELSE list_append(acc, x[1]) END) AS l FROM p) SELECT e.dataset, e.a, e.b, e.rk FROM (SELECT unnest(l) AS e FROM o)""")
+#: Greedy matching of each dataset as a fold over its pairs in rank order.
+_MATCHED = """o AS (SELECT list_reduce(list_prepend([]::STRUCT(dataset VARCHAR, a VARCHAR, b VARCHAR, rk BIGINT)[], list([{'dataset': dataset, 'a': a, 'b': b, 'rk': rk}] ORDER BY rk)),
+    lambda acc, x: CASE WHEN list_contains([y.a for y in acc], x[1].a) OR list_contains([y.b for y in acc], x[1].b) THEN acc ELSE list_append(acc, x[1]) END) AS l FROM p GROUP BY dataset),
+    mt AS (SELECT e.dataset, e.a, e.b, e.rk FROM (SELECT unnest(l) AS e FROM o))"""
+
+
+@query(f"WITH {EL}, {_PAIRS}, {_MATCHED} SELECT * FROM mt")
 def correlation_matching(spark, d):
     return G.greedy_matching(_pairs(spark, d)).select("dataset", "a", "b", F.col("rk").cast("long").alias("rk"))
 

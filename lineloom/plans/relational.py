@@ -15,6 +15,8 @@ STATEMENTS = {
     "local_suppliers": "SELECT n_name, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey AND c_nationkey = s_nationkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name",
     "semi_join": "SELECT o_orderpriority, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45) GROUP BY o_orderpriority",
     "anti_join": "SELECT c_mktsegment, count(*) AS n FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) GROUP BY c_mktsegment",
+    "anti_join_parts": "SELECT p_brand, count(*) AS n FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45) GROUP BY p_brand",
+    "correlated_average": "SELECT p_partkey, p_retailprice FROM part p WHERE p_retailprice > (SELECT avg(q.p_retailprice) FROM part q WHERE q.p_brand = p.p_brand)",
     "outer_join": "SELECT c_custkey, count(o_orderkey) AS n, CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey",
     "full_join": "SELECT coalesce(a.k, b.k) AS k, a.n AS customers, b.n AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY c_nationkey) a FULL JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY s_nationkey) b ON a.k = b.k",
     "set_operations": "(SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier) EXCEPT SELECT n_nationkey FROM nation WHERE n_regionkey = 1",

@@ -45,6 +45,8 @@ def contained_path(root: str, name: str) -> Path:
 
 def read_records(spark: SparkSession, *paths: str) -> DataFrame:
     """Question records from JSON arrays, single objects or ``.jsonl`` files, with their file; a bad record stops the read."""
+    if not paths:
+        return spark.createDataFrame([], RECORD).withColumn("source_file", F.lit(None).cast("string"))
     whole = [p for p in paths if not p.endswith(".jsonl")]
     by_line = [p for p in paths if p.endswith(".jsonl")]
     reader = spark.read.schema(RECORD)
@@ -63,3 +65,49 @@ def read_worksheet(spark: SparkSession, path: str) -> DataFrame:
 
 def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").json(path)
+
+
+LOCK = "dataset string, sha256 string, pinned_commit string"
+
+
+def read_lock(spark: SparkSession, path: str) -> DataFrame:
+    """``(dataset, sha256, pinned_commit)`` of a lock."""
+    return spark.read.schema(LOCK).json(path)
+
+
+def write_lock(files: DataFrame, commit: str, path: str) -> None:
+    """Locks the digests of ``files`` (dataset, sha256) to a commit; the folder is replaced as a whole."""
+    files.select("dataset", "sha256", F.lit(commit).alias("pinned_commit")).orderBy("dataset").write.mode("overwrite").json(path)
+
+
+def locked_to(lock: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``(dataset, status)``: ``ok`` where lock and manifest name the same commit, else ``moved``, ``unlocked`` or ``unlisted``."""
+    both = lock.select("dataset", F.col("pinned_commit").alias("locked")).join(manifest.select(F.col("name").alias("dataset"), "pinned_commit"), "dataset", "full_outer")
+    status = F.when(F.col("locked").isNull(), "unlocked").when(F.col("pinned_commit").isNull(), "unlisted").when(F.col("locked") != F.col("pinned_commit"), "moved").otherwise("ok")
+    return both.select("dataset", status.alias("status"))
+
+
+def write_records(records: DataFrame, path: str) -> None:
+    """Records as JSON lines; the folder is replaced as a whole."""
+    records.write.mode("overwrite").json(path)
+
+
+def write_reports(records: DataFrame, path: str) -> None:
+    """A report for each record with checks: its groups, its verdicts and the models; a row each in one table."""
+    groups = F.array_sort(F.array_distinct(F.transform("evidence.refs", lambda r: r.group_id)))
+    reports = records.where("validation.checks is not null").select(F.col("id").alias("question_id"), groups.alias("group_ids"), F.col("validation.model").alias("reviewer_model"), F.col("gold_provenance.model").alias("subject_model"), "validation.checks")
+    reports.write.mode("overwrite").json(path)
+
+
+def write_text(lines: DataFrame, path: str) -> None:
+    """The ``text`` of rows as lines of text files; the folder is replaced as a whole."""
+    lines.select("text").write.mode("overwrite").text(path)
+
+
+def write_payload(payload: DataFrame, problems: DataFrame, path: str) -> None:
+    """A payload as JSON, one row for each dataset; refused if it is empty or has problems."""
+    if found := problems.limit(5).collect():
+        raise ValueError(f"the payload has problems: {[tuple(r) for r in found]}")
+    if not payload.head(1):
+        raise ValueError("the payload is empty")
+    payload.write.mode("overwrite").json(path)
