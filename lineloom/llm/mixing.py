@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lineloom.llm.rows import KEY, row_key
+from lineloom.llm.rows import ID, ROW, with_keys
 from lineloom.storage import cut
 
 WEIGHTS, SHARE, ROUNDS, BUCKETS, SEED = (3, 1, 2), (3, 2), 2, 65536, "mix-20"
@@ -152,6 +152,6 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     Rows are told apart by id and all columns, so rows that differ anywhere are taken
     each for itself, and equal rows together as often as the mix takes them.
     """
-    keyed = docs.withColumn(KEY, row_key(docs, id_col))
-    chosen = mix(keyed, id_col, text_col, source_col, keep=(KEY,), **options).where("repeats > 0").groupBy(KEY).agg(F.sum("repeats").cast("int").alias(TIMES))
-    return keyed.dropDuplicates([KEY]).join(chosen, KEY).withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).drop(KEY, TIMES)
+    keyed = with_keys(docs, id_col)
+    chosen = mix(keyed, id_col, text_col, source_col, keep=(ID, ROW), **options).where("repeats > 0").groupBy(ID, ROW).agg(F.sum("repeats").cast("int").alias(TIMES))
+    return keyed.dropDuplicates([ID, ROW]).join(chosen, [ID, ROW]).withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).drop(ID, ROW, TIMES)

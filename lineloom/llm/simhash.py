@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineloom.llm.rows import KEY, row_key
+from lineloom.llm.rows import ID, ROW, row_hash, with_keys
 from lineloom.operators.components import connected_components
 from lineloom.storage import cut
 
@@ -213,24 +213,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(label, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _first_rows(docs: DataFrame, key: Column, named: DataFrame) -> DataFrame:
-    """Of ``docs`` the row of each component that comes first by (id, row); ``named`` is (id struct, component)."""
+def _named_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text)`` with the id as a struct of the id itself and a hash of the row."""
+    return docs.select(F.struct(F.col(id_col).cast("long").alias("id"), row_hash(docs).alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _first_rows(docs: DataFrame, id_col: str, named: DataFrame) -> DataFrame:
+    """Of ``docs`` the row of each component that comes first by (id, row), null ids last; ``named`` is (id struct, component)."""
     first = named.groupBy("component").agg(F.min(F.struct(F.col("id.id").isNull().alias("none"), F.col("id").alias("key"))).alias("one"))
-    kept = first.select(F.col("one.key.id").alias("__lineloom_id"), F.col("one.key.row").alias("__lineloom_hash"))
-    keyed = docs.withColumn(KEY, key)
-    same = F.col(f"{KEY}.id").cast("long").eqNullSafe(F.col("__lineloom_id")) & (F.col(f"{KEY}.row") == F.col("__lineloom_hash"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([KEY]).drop(KEY)
+    kept = first.select(F.coalesce("one.key.id", F.lit(0)).cast("long").alias(ID), F.col("one.key.row").alias(ROW))
+    keyed = with_keys(docs, id_col)
+    return keyed.join(kept, [ID, ROW], "left_semi").dropDuplicates([ID, ROW]).drop(ID, ROW)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One row of each component of near duplicates, all columns kept: that of the smallest id, null ids last.
 
-    Of rows with that id the one with the smallest hash of all columns stays, of equal rows one.
+    Ids are whole numbers. Of rows with that id the one with the smallest hash of all
+    columns stays, of equal rows one.
     """
-    key = row_key(docs, id_col)
-    fps = cut(fingerprints(docs.select(F.struct(F.col(id_col).cast("long").alias("id"), key["row"].alias("row")).alias(KEY), F.col(text_col).alias("text")), KEY, "text", size, "struct<id:bigint,row:bigint>"), "fingerprints")
+    fps = cut(fingerprints(_named_rows(docs, id_col, text_col), "id", "text", size, "struct<id:bigint,row:bigint>"), "fingerprints")
     label = fingerprint_classes(fps.select(F.col("id.id").alias("id"), "fp"), bits).select("fp", "component")
-    return _first_rows(docs, key, fps.join(label, "fp").select("id", "component"))
+    return _first_rows(docs, id_col, fps.join(label, "fp").select("id", "component"))
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -344,7 +348,7 @@ def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block:
     owners = sets.select("digest", F.explode("members").alias("member")).groupBy("member").agg(F.count(F.lit(1)).alias("sets"), F.min("digest").alias("digest"))
     own = owners.where("sets = 1").groupBy("digest").agg(F.count(F.lit(1)).alias("own"))
     most = F.col("n") - F.coalesce("own", F.lit(0))  # a set can have no more in common with any other
-    alive = cut(dealt.join(cut(own, "own"), "digest", "left").withColumn("most", most).where(_alike(F.col("most"), F.col("n"), F.col("most"))).select("key", "digest", "n", "most"), "alive")
+    alive = cut(dealt.join(own, "digest", "left").withColumn("most", most).where(_alike(F.col("most"), F.col("n"), F.col("most"))).select("key", "digest", "n", "most"), "alive")
     centre = alive.groupBy("key").agg(F.min(F.struct((1 - F.col("most") / F.col("n")).alias("own"), "digest", "n", "most")).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1")
     dealt = cut(alive.join(cut(centre.select("key", F.col("c.digest").alias("first"), F.col("c.n").alias("first_n"), F.col("c.most").alias("first_most")), "centres"), "key"), "dealt")
     may = lambda a, b, x, y: _alike(F.least(a, b, x, y), a, b)
@@ -373,10 +377,9 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``size`` words is one shingle. Whole texts are read, however long. Rows that
     repeat each other, in all columns or in some, are near duplicates, so one stays.
     """
-    key = row_key(docs, id_col)
-    keyed = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), key["row"].alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
+    keyed = _named_rows(docs, id_col, text_col)
     found = cut(sketches(keyed, size), "sketches")
     classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("minima").alias("minima"), F.min("id").alias("id")), "classes")
     label = connected_components(similar_links(classes, keyed, size, block)).withColumnRenamed("node", "digest")
     named = found.select("id", "digest").join(label, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    return _first_rows(docs, key, named)
+    return _first_rows(docs, id_col, named)
