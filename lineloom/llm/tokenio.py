@@ -12,24 +12,23 @@ search and without reading the payload.
 Scale. Texts are range-partitioned by key and sorted once; every task encodes and
 streams one shard to shared storage, under a name of its own until it is whole.
 Global starts are prefix sums over the manifest, which has a row for each shard.
-Words repeat, so each worker keeps a bounded cache from words, and some other pieces
-between spaces, to ids; a text is cut at single spaces only where the pre-tokenizer is
-bound to cut too, and all other texts go to the library whole.
+Words repeat, so each worker keeps a bounded cache from words to ids. Latin texts are
+cut into words as the pre-tokenizer cuts them; all other texts, and those with an added
+token in them, go to the library whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import sys
+import unicodedata
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +36,21 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import cut, new_path
 
-MAGIC, LEVELS, LOAD, CACHE, END = b"LLTOK01\n", 24, 2, 700_000, 2
+MAGIC, LEVELS, LOAD, CACHE, END, LONG = b"LLTOK01\n", 24, 2, 700_000, 2, 1 << 20
 _tokenizers: dict[tuple[str, bool], Encoder] = {}
-#: Fixed value: how the pre-tokenizer cuts words.
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Characters on whose classes all libraries agree; other pieces aren't cut further.
-_LATIN = re.compile("[\\x00-\u024f]*")
-#: White space other than space and newline: a text with any is not cut.
-_RARE = re.compile(r"[^\S \n]")
+
+
+def _range(category: str) -> str:
+    """The Latin characters of a Unicode category, as the inside of a regex class; all libraries agree on them."""
+    return "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == category)
+
+
+_LATIN = re.compile("[\x00-\u024f]*")
+_L, _N, _S = _range("L"), _range("N"), r"\t-\r \x85\xa0"
+#: Fixed value: how the pre-tokenizer cuts texts, written for Latin ones.
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+#: A place that every cut passes: a single space before a letter.
+_SAFE = re.compile(rf"(?<=[{_L}])(?= [{_L}])")
 
 
 class Encoder:
@@ -65,61 +71,77 @@ class Encoder:
         spec = json.loads(self.library.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        self.known: dict[str, bytes] = {}  # ids of a piece after a space
-        self.bare: dict[str, bytes] = {}  # ids of parts of pieces that don't follow a space
-        self.odd = self.missed = 0
+        self.known: dict[str, bytes] = {}
+        line = self.library.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        kind, out = "H" if self.width == 2 else "I", []
+        out = []
         for at in range(0, len(texts), 1024):
-            for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False):
-                ids = array(kind, e.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                out.append(ids.tobytes())
+            out += [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False)]
         return out
 
-    def _learn(self, new: list[str]) -> list[str]:
-        """Adds the ids of pieces that aren't known; returns those that there is no room to keep."""
-        known, bare, room = self.known, self.bare, len(self.known) - self.odd < CACHE
-        words, odd = {p for p in new if p.isalpha()}, {}
-        for p in new:
-            if not p.isalpha():
-                odd[p] = [(w[1:], True) if w[0] == " " and w[1:].isalpha() else (w, False) for w in (_WORDS.findall(" " + p) if _LATIN.fullmatch(p) else [" " + p])]
-        words = list(words.union(w for ws in odd.values() for w, spaced in ws if spaced).difference(known))
-        rest = list({w for ws in odd.values() for w, spaced in ws if not spaced}.difference(bare))
-        known.update(zip(words, self._raw([" " + w for w in words]), strict=True))
-        bare.update(zip(rest, self._raw(rest), strict=True))
-        known.update((p, b"".join([known[w] if spaced else bare[w] for w, spaced in ws])) for p, ws in odd.items())
-        self.missed += len(words) + len(rest)
-        if len(bare) > CACHE // 4:
-            bare.clear()
-        keep_odd = self.odd < CACHE // 8
-        self.odd += len(odd) if keep_odd else 0
-        return ([] if room else words) + ([] if keep_odd else list(odd))
+    def _learn(self, new: list[str]) -> None:
+        """Adds the ids of words. Line feeds between words are words of their own, so many words are one call."""
+        rest = new
+        if self.line is not None:
+            rest = [w for w in new if w.isspace()]
+            words = [w for w in new if not w.isspace()]
+            for at in range(0, len(words), 1024):
+                part = words[at : at + 1024]
+                ids = np.array(self.library.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+                raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.line) * self.width).tolist()
+                if len(ends) != len(part) - 1:
+                    raise ValueError("the tokenizer merges words over line feeds")
+                self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *[e + self.width for e in ends]], [*ends, len(raw)], strict=True)], strict=True))
+        self.known.update(zip(rest, self._raw(rest), strict=True))
+
+    def _parts(self, text: str) -> Iterator[str]:
+        """The text in parts of about ``LONG`` characters, cut where the pre-tokenizer cuts too."""
+        at = 0
+        while len(text) - at > 2 * LONG and (safe := _SAFE.search(text, at + LONG)):
+            yield text[at : safe.start()]
+            at = safe.start()
+        yield text[at:] if at else text
+
+    def _trim(self) -> None:
+        """Makes room: long words go first, as they are the rare ones."""
+        for most in (9, 6, 0):
+            if len(self.known) > CACHE // 2:
+                for w in [w for w in self.known if len(w) > most]:
+                    del self.known[w]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes of this encoder's width."""
-        cut, heads, whole = [], [], []
-        for t in texts:
-            if self.cuts and not (self.added and self.added.search(t)) and not (_RARE.search(t) or "  " in t or " \n" in t or "\n " in t or t.endswith(" ")):
-                head, *rest = t.split(" ")
-                cut.append(rest)
-                heads.append(head)
-            else:
-                cut.append(None)
-                whole.append(t)
-        known = self.known
-        new = list({p for ps in cut if ps for p in ps}.difference(known))
-        passing = self._learn(new) if new else []
-        first, rest = iter(self._raw(heads)), iter(self._raw(whole))
-        out = [next(rest) if ps is None else b"".join([next(first), *map(known.__getitem__, ps)]) for ps in cut]
-        for p in passing:
-            del known[p]
-        if self.missed > 16 * CACHE:  # the texts have changed: begin anew
-            known.clear()
-            self.odd = self.missed = 0
-        return out
+        cut = [self.cuts and not (self.added and self.added.search(t)) and _LATIN.fullmatch(t) is not None for t in texts]
+        whole = iter(self._raw([t for t, c in zip(texts, cut, strict=True) if not c]))
+        out: list[list[bytes]] = [[] if c else [next(whole)] for c in cut]
+        known, pending, size = self.known, [], 0
+
+        def flush() -> None:
+            words = list(chain.from_iterable(w for _, w in pending))
+            ids = list(map(known.get, words))
+            if unknown := [at for at, x in enumerate(ids) if x is None]:
+                self._learn(list({words[at] for at in unknown}))
+                for at in unknown:
+                    ids[at] = known[words[at]]
+            at = 0
+            for k, w in pending:
+                out[k].append(b"".join(ids[at : at + len(w)]))
+                at += len(w)
+            pending.clear()
+            if len(known) > CACHE:
+                self._trim()
+
+        for k, text in enumerate(texts):
+            for part in self._parts(text) if cut[k] else ():
+                pending.append((k, _WORDS.findall(part)))
+                size += len(part)
+                if size > LONG:
+                    flush()
+                    size = 0
+        flush()
+        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in out]
 
 
 def encoder(path: str, plain: bool = True) -> Encoder:
