@@ -26,10 +26,10 @@ minima of the set under other hashes: at similarity 0.8 one pair in 16,000 share
 none. Shingles that no other set has bound what a set can have in common with any, so
 heavily edited copies drop out before pairs are made. All candidates of a bucket meet
 its centre, the set with the least share of such shingles; then only pairs that this
-left in different components are looked at, inside blocks of bounded size: those that
-can be alike by their sizes and agree in ``AGREE`` of the minima are compared (at
-similarity 0.8 one pair in 50,000 agrees in fewer), so a group of near copies costs a
-star.
+left in different components are looked at, each pair once, inside blocks of bounded
+size. Those that can be alike by their sizes and residues, which loses none, and agree
+in ``AGREE`` of the minima (at similarity 0.8 one pair in 50,000 agrees in fewer) are
+compared, so a group of near copies costs a star.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ SEED, SHINGLE, BITS, BLOCK, PIVOTS, FEW = 42, 3, 3, 2048, 24, 1_000_000
 #: Near copies by content: shingle length, least similarity as a fraction, keys and minima in a key.
 WIDE, SIMILAR, BANDS, ROWS = 5, (4, 5), 32, 6
 #: Least number of the minima that a pair has in common: 0.68 of them, 4 standard deviations under what 0.8 gives.
-AGREE = 130
+AGREE, RESIDUES = 130, 2048
 #: Five blocks of the 64 bits, and the ten pairs of them.
 EDGES = (0, 13, 26, 39, 52, 64)
 MASKS = [sum(((1 << EDGES[b + 1]) - (1 << EDGES[b])) for b in pair) for pair in combinations(range(5), 2)]
@@ -252,6 +252,13 @@ def _minima(members: np.ndarray, factors: tuple[np.ndarray, np.ndarray, np.ndarr
     return least * mix[: len(a)]
 
 
+def _bits(members: np.ndarray) -> bytes:
+    """A bit for each residue of the shingle hashes."""
+    bits = np.zeros(RESIDUES, bool)
+    bits[(members >> np.uint64(20)) % np.uint64(RESIDUES)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _keys(least: np.ndarray, fp: int, factors: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """Bucket keys of a set: one for each band of its minima, then the fingerprint's block pairs."""
     bands = least.reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)
@@ -264,7 +271,7 @@ def _members(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int = WIDE) -> DataFrame:
-    """``(id, digest, n, keys, minima)`` of rows ``(id, text)``: a hash of the row's set of shingles, its size, its buckets and 16 bits of each minimum."""
+    """``(id, digest, n, keys, minima)`` of rows ``(id, text)``: a hash of the row's set of shingles, its size, its buckets, and 16 bits of each minimum followed by the set's residues."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors()
@@ -277,7 +284,7 @@ def sketches(docs: DataFrame, size: int = WIDE) -> DataFrame:
                 digests.append(xxhash.xxh64_intdigest(members.tobytes(), SEED))
                 sizes.append(len(members))
                 keys.append(_keys(least, _majority(hashes), factors).tolist() if len(members) else [])
-                minima.append((least >> np.uint64(48)).astype("<u2").tobytes())
+                minima.append((least >> np.uint64(48)).astype("<u2").tobytes() + _bits(members))
             columns = [b.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(minima, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "n", "keys", "minima"])
 
@@ -302,18 +309,30 @@ def _alike(inner: Column, a: Column, b: Column) -> Column:
 
 
 def _near_minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components that can be alike by their sizes and agree in ``AGREE`` of the minima; rows (block, side, digest, n, most, component, minima)."""
+    """Pairs of different components that can be alike and agree in ``AGREE`` of the minima.
+
+    Residues that one set has and the other hasn't are members that aren't shared, so
+    they bound what is. Sizes and members without another set bound it too.
+    Rows are (block, side, digest, n, most, component, minima, band, keys). A pair that
+    shares several buckets is told in the first of them only.
+    """
     num, den = SIMILAR
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         side, digest, n, most, component = (rows.column(k).to_numpy() for k in range(1, 6))
-        minima = np.frombuffer(b"".join(rows.column(6).to_pylist()), "<u2").reshape(len(side), -1)
+        sketch = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.uint8).reshape(len(side), -1)
+        minima, bits = (np.ascontiguousarray(part).view(kind) for part, kind in ((sketch[:, : 2 * BANDS * ROWS], "<u2"), (sketch[:, 2 * BANDS * ROWS :], "<u8")))
+        band, keys = int(rows.column(7)[0].as_py()), np.stack(rows.column(8).to_numpy())
         left, right = (np.flatnonzero(side == k) for k in ((0, 0) if not side[0] else (1, 2)))
         src, dst = [], []
         if len(left) and len(right) and (component != component[0]).any():
             for x in left:
-                y = right[(component[right] != component[x]) & (np.minimum(most[right], most[x]) * (num + den) >= (n[right] + n[x]) * num)]
+                y = right if side[0] else right[right > x]
+                y = y[(component[y] != component[x]) & (np.minimum(most[y], most[x]) * (num + den) >= (n[y] + n[x]) * num)]
                 y = y[(minima[y] == minima[x]).sum(axis=1) >= AGREE]
+                y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]
+                inner = np.minimum(n[x] - np.bitwise_count(bits[x] & ~bits[y]).sum(axis=1, dtype=np.int64), n[y] - np.bitwise_count(bits[y] & ~bits[x]).sum(axis=1, dtype=np.int64))
+                y = y[inner * (num + den) >= (n[y] + n[x]) * num]
                 src.append(np.minimum(digest[x], digest[y]))
                 dst.append(np.maximum(digest[x], digest[y]))
         none = [np.zeros(0, np.int64)]
@@ -341,14 +360,14 @@ def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block:
     (id, text). The ids whose texts are needed are broadcast if there are at most
     ``few``, else joined.
     """
-    dealt = classes.select("digest", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    dealt = classes.select("digest", "n", F.posexplode("keys").alias("band", "key"))
     dealt = cut(dealt.join(cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared"), "key"), "dealt")
     needed = cut(classes.join(dealt.select("digest").distinct(), "digest", "left_semi").select("id", "digest"), "needed")
     sets = cut(_shingle_sets(texts.join(F.broadcast(needed) if needed.count() <= few else needed, "id").select("digest", "text").dropDuplicates(["digest"]), size), "sets")
     owners = sets.select("digest", F.explode("members").alias("member")).groupBy("member").agg(F.count(F.lit(1)).alias("sets"), F.min("digest").alias("digest"))
     own = owners.where("sets = 1").groupBy("digest").agg(F.count(F.lit(1)).alias("own"))
     most = F.col("n") - F.coalesce("own", F.lit(0))  # a set can have no more in common with any other
-    alive = cut(dealt.join(own, "digest", "left").withColumn("most", most).where(_alike(F.col("most"), F.col("n"), F.col("most"))).select("key", "digest", "n", "most"), "alive")
+    alive = cut(dealt.join(own, "digest", "left").withColumn("most", most).where(_alike(F.col("most"), F.col("n"), F.col("most"))).select("key", "band", "digest", "n", "most"), "alive")
     centre = alive.groupBy("key").agg(F.min(F.struct((1 - F.col("most") / F.col("n")).alias("own"), "digest", "n", "most")).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1")
     dealt = cut(alive.join(cut(centre.select("key", F.col("c.digest").alias("first"), F.col("c.n").alias("first_n"), F.col("c.most").alias("first_most")), "centres"), "key"), "dealt")
     may = lambda a, b, x, y: _alike(F.least(a, b, x, y), a, b)
@@ -361,11 +380,11 @@ def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block:
     stars = dealt.where((F.col("digest") != F.col("first")) & may(F.col("n"), F.col("first_n"), F.col("most"), F.col("first_most"))).select(F.col("first").alias("src"), F.col("digest").alias("dst")).distinct()
     near = cut(verify(stars), "stars")
     named = dealt.join(connected_components(near).withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    named = cut(named.select("key", "digest", "n", "most", "first", "component"), "named")
+    named = cut(named.select("key", "band", "digest", "n", "most", "first", "component"), "named")
     mixed = cut(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "mixed")
-    rest = named.where("digest <> first").join(mixed, "key").select("key", "digest", "n", "most", "component")  # the centre of a bucket has met all others
-    rest = cut(rest.join(classes.select("digest", "minima"), "digest"), "rest")
-    dealt = _pair_blocks(rest, "key", "digest", block).select("block", "side", "digest", "n", "most", "component", "minima")
+    rest = named.where("digest <> first").join(mixed, "key").select("key", "band", "digest", "n", "most", "component")  # the centre of a bucket has met all others
+    rest = cut(rest.join(classes.select("digest", "minima", "keys"), "digest"), "rest")
+    dealt = _pair_blocks(rest, "key", "digest", block).select("block", "side", "digest", "n", "most", "component", "minima", "band", "keys")
     across = dealt.mapInArrow(_near_minima, "src long, dst long").distinct()
     return near.unionByName(cut(verify(across), "across"))
 
