@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineloom.operators import records as R
@@ -19,14 +19,17 @@ from lineloom.sources import lines as L
 ANCHOR, QUOTA = "user=12", 4
 COMPARE = ["How do {key0} and {key1} differ?", "Compare user {key0} with user {key1}."]
 LINK = ["What do {key0} and {key1} have to do with each other?", "Explain how {key0} and {key1} are linked.", "Relate {key0} to {key1}."]
-NO_MODEL = F.struct(F.lit("rule").alias("name"), F.lit("none").alias("family"), F.lit("sha256:0").alias("digest"), F.lit("sha256:0").alias("prompt_sha256"))
+
+
+def no_model() -> Column:
+    return F.struct(F.lit("rule").alias("name"), F.lit("none").alias("family"), F.lit("sha256:0").alias("digest"), F.lit("sha256:0").alias("prompt_sha256"))
 
 
 def _drafts(asked: DataFrame) -> DataFrame:
     """Drafts by a rule, which stands in for whoever writes answers."""
     extraction = F.concat(F.lit("EVENT_TYPE: "), "dataset", F.lit("\nentity:   "), F.get("refs", F.lit(0)).group_id, F.lit(" \nOUTCOME:\n"))
     answer = F.concat(F.lit("The evidence has "), F.size("refs").cast("string"), F.lit(" lines. It starts with one and ends with another."))
-    return asked.select("id", extraction.alias("extraction"), answer.alias("answer"), NO_MODEL.alias("model"))
+    return asked.select("id", extraction.alias("extraction"), answer.alias("answer"), no_model().alias("model"))
 
 
 def _medium(spark, d) -> DataFrame:
