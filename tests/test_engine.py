@@ -35,8 +35,6 @@ def norm(rows, columns):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_against_sql(spark, db, name):
-    if name in ("validation_findings", "validation_clean", "group_components", "split_assignment", "split_leak_check"):
-        pytest.skip("iterative; run by test_iterative_queries")
     df = QUERIES[name](spark, DIR)
     want = db.execute(SQL[name])
     columns = [d[0] for d in want.description]
@@ -44,14 +42,6 @@ def test_query_against_sql(spark, db, name):
     assert norm([[r[c] for c in columns] for r in df.collect()], columns) == norm(want.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", ["validation_findings", "group_components"])
-def test_iterative_queries(spark, db, name):
-    df = QUERIES[name](spark, DIR)
-    want = db.execute(SQL[name])
-    columns = [d[0] for d in want.description]
-    assert norm([[r[c] for c in columns] for r in df.collect()], columns) == norm(want.fetchall(), columns)
-
-
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

@@ -75,28 +75,34 @@ def query(field, value):
 LIT, SQ, SC, LK = "linux_v1_count_authentication_failure_0", "linux_v1_modelsql_count_0_0", "linux_v1_modelsql_scalar_3_0", "linux_v1_lookup_failure_0"
 
 
-@pytest.mark.parametrize(
-    ("name", "column", "value", "check"),
-    [
-        (SQ, "expected_answer", lambda: F.lit("4"), "answer"),
-        (SC, "expected_answer", lambda: F.lit("7"), "answer"),
-        (LK, "expected_answer", lambda: F.lit("another line"), "lookup"),
-        (SQ, "numeric_claims", lambda: F.transform("numeric_claims", lambda c: c.withField("value", F.lit(9.0))), "claim"),
-        (SQ, "numeric_claims", lambda: query("sql", "SELECT line_number, text FROM lines WHERE dataset = 'other'"), "claim"),
-        (SC, "numeric_claims", lambda: query("evidence_sql", "SELECT line_number, text FROM lines WHERE dataset = 'linux' AND false"), "claim"),
-        (LIT, "numeric_claims", lambda: query("operator", "no such operator"), "claim"),
-        (LIT, "evidence", lambda: F.col("evidence").withField("query_sql", F.lit("SELECT 1")), "query_sql"),
-        (LIT, "evidence", lambda: F.col("evidence").withField("refs", F.transform("evidence.refs", lambda r: r.withField("line_hash", F.lit("sha256:0")))), "evidence_hash"),
-        (LIT, "gold_provenance", lambda: F.col("gold_provenance").withField("corpus_sha256", F.lit("sha256:0")), "corpus_digest"),
-        (LIT, "gold_provenance", lambda: F.col("gold_provenance").withField("created_at", F.lit("yesterday")), "schema"),
-        (LIT, "gold_provenance", lambda: F.col("gold_provenance").withField("method", F.lit("by hand")), "easy_method"),
-        (LIT, "difficulty", lambda: F.lit("medium"), "tier_method"),
-        (LIT, "numeric_claims", lambda: F.lit(None), "no_claim"),
-    ],
-)
-def test_one_fault_is_found(records, lines, digests, name, column, value, check):
-    bad = changed(records, name, column, value())
-    assert (check, name) in checks(bad, lines, digests)
+#: Record, column, what it becomes, and the check that must object.
+FAULTS = [
+    (SQ, "expected_answer", lambda: F.lit("4"), "answer"),
+    (SC, "expected_answer", lambda: F.lit("7"), "answer"),
+    (LK, "expected_answer", lambda: F.lit("another line"), "lookup"),
+    (SQ, "numeric_claims", lambda: F.transform("numeric_claims", lambda c: c.withField("value", F.lit(9.0))), "claim"),
+    (SQ, "numeric_claims", lambda: query("sql", "SELECT line_number, text FROM lines WHERE dataset = 'other'"), "claim"),
+    (SC, "numeric_claims", lambda: query("evidence_sql", "SELECT line_number, text FROM lines WHERE dataset = 'linux' AND false"), "claim"),
+    (LIT, "numeric_claims", lambda: query("operator", "no such operator"), "claim"),
+    (LIT, "evidence", lambda: F.col("evidence").withField("query_sql", F.lit("SELECT 1")), "query_sql"),
+    (LIT, "evidence", lambda: F.col("evidence").withField("refs", F.transform("evidence.refs", lambda r: r.withField("line_hash", F.lit("sha256:0")))), "evidence_hash"),
+    (LIT, "gold_provenance", lambda: F.col("gold_provenance").withField("corpus_sha256", F.lit("sha256:0")), "corpus_digest"),
+    (LIT, "gold_provenance", lambda: F.col("gold_provenance").withField("created_at", F.lit("yesterday")), "schema"),
+    (LIT, "gold_provenance", lambda: F.col("gold_provenance").withField("method", F.lit("by hand")), "easy_method"),
+    (LIT, "difficulty", lambda: F.lit("medium"), "tier_method"),
+    (LIT, "numeric_claims", lambda: F.lit(None), "no_claim"),
+]
+
+
+def test_each_fault_is_found(records, lines, digests):
+    """A copy of a record for each fault, all in one validation."""
+    bad = records
+    for k, (name, column, value, _) in enumerate(FAULTS):
+        bad = bad.unionByName(records.where(F.col("id") == name).withColumn(column, value().cast(records.schema[column].dataType)).withColumn("id", F.concat("id", F.lit(f"_f{k}"))))
+    found = checks(S_cut(bad), lines, digests)
+    for k, (name, *_, check) in enumerate(FAULTS):
+        assert (check, f"{name}_f{k}") in found, (k, check)
+    assert not {i for _, i in found} & {r.id for r in records.collect()}
 
 
 def test_faults_of_whole_sets(records, lines, digests, spark):
