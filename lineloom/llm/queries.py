@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import ann, decontam, licenses, mixing, quality, repeats, sharding, simhash, tokenio, urlfilter
+from lineloom.llm import ann, decontam, licenses, mixing, phrases, quality, repeats, sharding, simhash, tokenio, urlfilter
 from lineloom.session import table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -65,6 +65,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), plain=False)
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1,
     "op2_simhash_near_dedup": op2,
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8,
     "op9_license_scan": op9,
     "op10_token_output": op10,
+    "op13_phrase_collocations": op13,
 }
 
 _HOST = "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -110,4 +115,18 @@ SQL = {
         n AS (SELECT item_id, count(*) AS n FROM isx GROUP BY item_id),
         c AS (SELECT doc_id, th, item_id, count(*) AS shared FROM ds JOIN isx USING (s) GROUP BY ALL)
         SELECT DISTINCT doc_id, item_id, n AS shingles, shared, shared / n AS containment FROM c JOIN n USING (item_id) WHERE shared >= ceil(n * 0.8 - 1e-9)""",
+    "op13_phrase_collocations": """
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+        g AS (SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ') for i in range(1, len(ws) - k + 2)]) AS phrase FROM w, range(1, 6) AS x(k) WHERE len(ws) >= k),
+        f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS n FROM g GROUP BY lang, phrase),
+        t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, phrase, string_split(phrase, ' ') AS ws, k AS len, n AS a FROM f WHERE k > 1 AND n >= 100),
+        inside AS (SELECT lang, array_to_string(ws[i:j], ' ') AS phrase, max(a) AS longest FROM c, range(1, 6) AS x(i), range(1, 6) AS y(j) WHERE i < j AND j <= len AND j - i + 1 < len GROUP BY ALL),
+        o AS (SELECT c.*, unnest(range(1, len)) AS cut FROM c LEFT JOIN inside USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 100 * a),
+        h AS (SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS head, array_to_string(ws[cut + 1:], ' ') AS rest FROM o),
+        s AS (SELECT h.lang, h.phrase, cut, a, l.n AS l, r.n AS r, t.n, (1000::HUGEINT * a * t.n) // (l.n::HUGEINT * r.n) AS score
+              FROM h JOIN f AS l ON l.lang = h.lang AND l.phrase = head JOIN f AS r ON r.lang = h.lang AND r.phrase = rest JOIN t ON t.lang = h.lang),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM b) WHERE rank <= 2000""",
 }
