@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import ann, decontam, licenses, mixing, phrases, quality, repeats, sharding, simhash, tokenio, urlfilter
+from lineloom.llm import ann, decontam, licenses, mixing, negatives, phrases, quality, repeats, sharding, simhash, tokenio, urlfilter
 from lineloom.session import table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -65,6 +65,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), plain=False)
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8,
     "op9_license_scan": op9,
     "op10_token_output": op10,
+    "op12_hard_negatives": op12,
     "op13_phrase_collocations": op13,
 }
 
@@ -115,6 +122,13 @@ SQL = {
         n AS (SELECT item_id, count(*) AS n FROM isx GROUP BY item_id),
         c AS (SELECT doc_id, th, item_id, count(*) AS shared FROM ds JOIN isx USING (s) GROUP BY ALL)
         SELECT DISTINCT doc_id, item_id, n AS shingles, shared, shared / n AS containment FROM c JOIN n USING (item_id) WHERE shared >= ceil(n * 0.8 - 1e-9)""",
+    "op12_hard_negatives": """
+        WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings
+              WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM e AS a JOIN e AS b ON a.id <> b.id WHERE a.id % 100 = 0),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT * FROM (SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+              FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score) WHERE rank <= 10""",
     "op13_phrase_collocations": """
         WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
         w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
