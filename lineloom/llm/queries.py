@@ -7,19 +7,19 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import ann, decontam, licenses, mixing, negatives, phrases, quality, repeats, sharding, simhash, tokenio, urlfilter
+from lineloom.llm import ann, decontam, licenses, mixing, negatives, packing, phrases, quality, repeats, sharding, simhash, tokenio, urlfilter
 from lineloom.session import table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
-def tokenizer_path() -> str:
-    """Where the public vocabulary file stands; LINELOOM_TOKENIZER names another."""
-    if named := os.environ.get("LINELOOM_TOKENIZER"):
+def tokenizer_path(setting: str = "LINELOOM_TOKENIZER", file: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary file stands; the environment's ``setting`` names another."""
+    if named := os.environ.get(setting):
         return named
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(file)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), plain=False)
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("LINELOOM_WORD_TOKENIZER", "word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8,
     "op9_license_scan": op9,
     "op10_token_output": op10,
+    "op11_packing": op11,
     "op12_hard_negatives": op12,
     "op13_phrase_collocations": op13,
 }
