@@ -18,7 +18,10 @@ share is ranked by many tasks; documents look up their lines, and only they move
 
 from __future__ import annotations
 
+import json
+import os
 import re
+from array import array
 from bisect import bisect_right, insort
 from collections import deque
 from collections.abc import Iterator
@@ -38,7 +41,8 @@ WINDOW, END, ROWS, LANES = 2048, 1, 8192, 64
 TRIPLES, SWEEPS, CACHE, BLOCK = 8192, 40, 600_000, 4 << 20
 
 _encoders: dict[str, Encoder] = {}
-_PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]+)")
+#: Printable ASCII without contractions and added tokens, and how the file cuts it in lower case.
+_PRINTABLE, _PARTS = re.compile(rb"(?:[!-&(-;=-~])+"), re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class Encoder:
@@ -49,8 +53,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        import json
-
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -74,20 +77,27 @@ class Encoder:
         return out
 
     def _learn(self, new: set[bytes]) -> None:
-        """Adds words; one of letters and marks is put together from both, letters in lower case."""
-        parts = {w: [m[1].lower(), m[2]] for w in new if (m := _PLAIN.fullmatch(w))}
-        plain = {w: [low] for w in new if w not in parts and w.isalpha() and w.isascii() and (low := w.lower()) != w}
-        parts |= plain
-        todo = list({x for w in new if w not in parts for x in (w,)}.union(*parts.values()).difference(self.known))
-        self.known.update(zip(todo, self._raw([w.decode() for w in todo]), strict=True))
+        """Adds words. One of printable ASCII is cut as the file cuts it, and its parts go to the library's model."""
+        parts = {w: _PARTS.findall(w.lower()) for w in new if _PRINTABLE.fullmatch(w)}
+        todo, rest = set(chain.from_iterable(parts.values())).difference(self.known), [w for w in new if w not in parts]
+        kind, tokenize = {2: "H", 4: "I"}[self.width], self.library.model.tokenize
+        self.known.update((w, array(kind, [t.id for t in tokenize(w.decode())]).tobytes()) for w in todo)
         self.known.update((w, b"".join(map(self.known.__getitem__, p))) for w, p in parts.items())
+        self.known.update(zip(rest, self._raw([w.decode() for w in rest]), strict=True))
+
+    def _trim(self) -> None:
+        """Makes room: long words go first, as they are the rare ones."""
+        for most in (9, 6, 0):
+            if len(self.known) > CACHE // 2:
+                for w in [w for w in self.known if len(w) > most]:
+                    del self.known[w]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as bytes of this encoder's width."""
         if not self.cuts:
             return self._raw([t.decode() for t in texts])
         if len(self.known) > CACHE:
-            self.known.clear()
+            self._trim()
         words = [t.split() for t in texts]
         flat = list(chain.from_iterable(words))
         ids = list(map(self.known.get, flat))
