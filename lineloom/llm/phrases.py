@@ -31,9 +31,9 @@ from lineloom.storage import cut
 
 LONGEST, LEAST, SHARE, MOST, NONE = 5, 100, 100, 2000, "und"
 #: One document in SAMPLE is mined for proposals, at LOWER of the threshold that it would have in proportion.
-SAMPLE, LOWER, SEED = 8, 0.5, 13
+SAMPLE, LOWER, SEED = 8, 0.25, 13
 #: Bits of the filter: a power of two with 32 for each phrase, at most BITS.
-BITS, BLOCK = 1 << 28, 8 << 20
+BITS, BLOCK = 1 << 28, 3 << 20
 
 _MARK = b"\xff"  # stands in no UTF-8 text
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _MARK * 10)
@@ -100,11 +100,12 @@ def phrase_filter(phrases: DataFrame, size: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def _blocks(langs: list[str], texts: list[bytes]) -> Iterator[tuple[str, list[bytes], int]]:
+def _blocks(rows: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], int]]:
     """``(lang, words, tail)``: the words of about ``BLOCK`` bytes of one language, pieces ended by the mark."""
     held: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
-    for lang, text in zip(langs, texts, strict=True):
+    for lang, text in zip(rows.column(0), rows.column(1).cast(pa.binary()), strict=True):
+        lang, text = lang.as_py(), text.as_py()
         held.setdefault(lang, []).append(text)
         sizes[lang] = sizes.get(lang, 0) + len(text) + 1
         if sizes[lang] >= BLOCK:
@@ -134,7 +135,7 @@ def _cut(texts: list[bytes]) -> Iterator[tuple[list[bytes], int]]:
         yield words, len(carry)
 
 
-def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | None, old: np.ndarray | None, first: bool) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | None, old: np.ndarray | None, first: bool, longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """``(k, phrases, counts)`` of the phrases that start in a block, but for its last ``tail`` words, and that no pass before has counted."""
     numbers = _Numbers({_MARK: 0})
     ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
@@ -153,7 +154,7 @@ def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | No
     h = _word_hashes(lang, own)
     word_hash, now, before = h, _within(bits, h)[ids] & real, _within(old, h)[ids] & real
     number = ids
-    for k in range(2, LONGEST + 1):
+    for k in range(2, longest + 1):
         both = now[:-1] & now[1:]
         at = np.flatnonzero(both)
         if not len(at):
@@ -168,7 +169,7 @@ def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | No
         new = np.flatnonzero((n > 0) & ~counted[where])
         if len(new):
             yield k, text_k.take(pa.array(new)), n[new]
-        if k == LONGEST:
+        if k == longest:
             return
         now, before, number_k = np.zeros(len(ids) - k + 1, bool), np.zeros(len(ids) - k + 1, bool), np.full(len(ids) - k + 1, -1)
         number_k[at] = inverse
@@ -177,20 +178,20 @@ def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | No
         number, text = number_k, text_k
 
 
-def _counter(bits, old, first: bool):
+def _counter(bits, old, first: bool, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = (None if b is None else b.value for b in (bits, old))
         for b in batches:
-            for lang, words, tail in _blocks(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                for k, phrases, n in _count_block(lang, words, tail, now, before, first):
+            for lang, words, tail in _blocks(b):
+                for k, phrases, n in _count_block(lang, words, tail, now, before, first, longest):
                     size = len(n)
                     yield pa.RecordBatch.from_arrays([pa.repeat(lang, size), pa.array(np.full(size, k, np.int32)), phrases.cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "k", "phrase", "n"])
 
     return run
 
 
-def frequent(texts: DataFrame, least: float, known: DataFrame | None = None, size: int | None = None) -> DataFrame:
-    """``(lang, k, phrase, n)``: all phrases of 1 to ``LONGEST`` words with ``n >= least``, and all words of a language as ``k`` 0.
+def frequent(texts: DataFrame, least: float, known: DataFrame | None = None, size: int | None = None, longest: int = LONGEST) -> DataFrame:
+    """``(lang, k, phrase, n)``: all phrases of 1 to ``longest`` words with ``n >= least``, and all words of a language as ``k`` 0.
 
     ``texts`` is (lang, text). ``known`` (lang, phrase) are proposals; without any, the
     passes are levels. Each further pass counts only what the border gained.
@@ -200,11 +201,11 @@ def frequent(texts: DataFrame, least: float, known: DataFrame | None = None, siz
     size = filter_size(known.count() if known is not None else 1 << 20) if size is None else size
     bits, old, tables = phrase_filter(known, size) if known is not None else None, None, []
     held = [share(bits), None]
-    for _ in range(LONGEST + 1):
-        counts = texts.mapInArrow(_counter(*held, first=not tables), _COUNTS)
+    for _ in range(longest + 1):
+        counts = texts.mapInArrow(_counter(*held, not tables, longest), _COUNTS)
         found = cut(counts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrases")
         tables.append(found)
-        new = found.where(f"k between 1 and {LONGEST - 1}").select("lang", "phrase")
+        new = found.where(f"k between 1 and {longest - 1}").select("lang", "phrase")
         if known is not None:
             new = new.join(known, ["lang", "phrase"], "left_anti")
         more = phrase_filter(new, size)
@@ -262,7 +263,7 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, share: i
     """
     texts = prepared(docs, text_col, lang_col)
     drawn = texts.where(F.rand(SEED) * SAMPLE < 1)  # by rows, so that copies are drawn one by one
-    proposed = frequent(drawn, max(2.0, least * LOWER / SAMPLE)).where(f"k between 1 and {LONGEST - 1}").select("lang", "phrase")
+    proposed = frequent(drawn, max(2.0, least * LOWER / SAMPLE), longest=LONGEST - 1).where("k > 0").select("lang", "phrase")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = scored(frequent(texts, least, proposed), share).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from lineloom.llm import phrases as P
@@ -75,11 +76,11 @@ def test_pieces_longer_than_a_block(spark, monkeypatch):
     """A text of one piece and a word, both longer than a block: no phrase is lost at an edge."""
     rng = random.Random(6)
     rows = [("en", " ".join(rng.choice(["alpha", "beta", "gamma delta", "w" * 300]) for _ in range(4000))), ("en", "x" * 5000 + " beta alpha beta")]
-    blocks = list(P._blocks([r[0] for r in rows], [r[1].encode() for r in rows]))
-    assert len(blocks) == 1
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    assert len(list(P._blocks(batch))) == 1
     monkeypatch.setattr(P, "BLOCK", 500)
     counts = Counter()
-    for lang, words, tail in P._blocks([r[0] for r in rows], [r[1].encode() for r in rows]):
+    for lang, words, tail in P._blocks(batch):
         for k, found, n in P._count_block(lang, words, tail, None, None, True):
             counts.update({(k, p): int(c) for p, c in zip(found.to_pylist(), n, strict=True)})
         for k in range(2, 6):
