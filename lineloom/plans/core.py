@@ -8,6 +8,7 @@ from lineloom.functions import text as X
 from lineloom.operators import counting as C
 from lineloom.plans.base import DL, EL, PL, TL, query, values
 from lineloom.sources import lines as L
+from lineloom.sources.store import wanted_ranges
 
 #: Literal specs over document lines (datasets are languages) and event lines (datasets are types).
 DOC_SPECS = [
@@ -115,7 +116,7 @@ def absence_count(spark, d):
 def point_lookup(spark, d):
     """Many single-line lookups as one join; a missing line has a null text."""
     refs = L.table(spark, d, "documents").select(F.col("lang").alias("dataset"), (F.col("doc_id") % 997 + 1).cast("int").alias("line_number")).groupBy("dataset", "line_number").agg(F.count(F.lit(1)).alias("asked"))
-    return refs.join(L.document_lines(spark, d), ["dataset", "line_number"], "left").select("dataset", "line_number", "asked", "text")
+    return refs.join(L.document_lines(spark, d, wanted_ranges(refs)), ["dataset", "line_number"], "left").select("dataset", "line_number", "asked", "text")
 
 
 @query(f"WITH {EL} SELECT dataset, count(DISTINCT split_part(text, ' ', 3)) AS users, max(length(text)) AS longest, round(avg(length(text)), 6) AS mean, sum(len(regexp_extract_all(text, '[0-9]+'))) ::BIGINT AS numbers FROM el GROUP BY dataset")

@@ -34,8 +34,9 @@ def anchor_stride(spark, d):
 
 @query(f"WITH {EL}, {_PICK} SELECT a.dataset, k, a.line_number AS anchor, el.line_number, el.text FROM a JOIN el ON el.dataset = a.dataset AND el.line_number BETWEEN a.line_number - 5 AND a.line_number + 5")
 def context_window(spark, d):
-    lines = L.event_lines(spark, d)
-    return P.context(lines, P.stride(_matches(spark, d), QUOTA), ["k"])
+    anchors = P.stride(_matches(spark, d), QUOTA)
+    near = anchors.groupBy("dataset").agg((F.min("line_number") - 5).cast("long").alias("lo"), (F.max("line_number") + 5).cast("long").alias("hi"))
+    return P.context(L.event_lines(spark, d, near), anchors, ["k"])
 
 
 @query(f"WITH {DL}, a AS (SELECT dataset, line_number AS anchor FROM dl WHERE contains(text, '{DOC_ANCHOR}')) SELECT a.dataset, anchor, count(*) AS n, min(dl.line_number) AS lo, max(dl.line_number) AS hi, sum(length(dl.text))::BIGINT AS chars FROM a JOIN dl ON dl.dataset = a.dataset AND dl.line_number BETWEEN anchor - 3 AND anchor + 3 GROUP BY ALL")

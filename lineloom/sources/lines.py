@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lineloom.functions import text as X
 from lineloom.operators.numbering import number_lines
 from lineloom.session import table
+from lineloom.sources.store import LineStore
+from lineloom.storage import new_path, path_of
 
 
 def corpus_files(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
@@ -35,6 +37,7 @@ def read_lines(spark: SparkSession, path: str, dataset: str | None = None) -> Da
 
 #: What tells the rows of a table apart: their file and their place in it.
 ROW = ("file", "row")
+_stores: dict[tuple, LineStore] = {}
 
 
 def _records(spark: SparkSession, sf_dir: str, name: str, dataset: Column, order: Column, tie: Column, lines: Column) -> DataFrame:
@@ -42,26 +45,53 @@ def _records(spark: SparkSession, sf_dir: str, name: str, dataset: Column, order
     return rows.select(dataset.alias("dataset"), order.alias("ord"), tie.alias("tie"), F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), lines.alias("lines"))
 
 
-def _numbered(records: DataFrame) -> DataFrame:
-    return number_lines(records, row=ROW).withColumn("line_number", F.col("line_number").cast("int"))  # the tables' contract; datasets of over 2**31 lines use number_lines itself
+def _as_given(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line_number", F.col("line_number").cast("int"))  # the tables' contract; the store itself counts in longs
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document texts, one dataset for each language."""
-    return _numbered(_records(spark, sf_dir, "documents", F.col("lang"), F.col("doc_id"), F.xxhash64("text"), X.split_lines(F.col("text"))))
+def store(spark: SparkSession, sf_dir: str, name: str) -> LineStore:
+    """The line store of a given table, in shared storage: written at its first use in a session, and again once the table's files change."""
+    files = []
+    for file in sorted(table(spark, sf_dir, name).inputFiles()):
+        fs, path = path_of(spark, file)
+        status = fs.getFileStatus(path)
+        files.append((file, status.getLen(), status.getModificationTime()))
+    key = (spark.sparkContext.applicationId, name, *files)
+    if key not in _stores:
+        made = LineStore(spark, new_path(spark, f"lines-{name}"))
+        made.append(_records(spark, sf_dir, name, *_SHAPES[name]()))
+        _stores[key] = made
+    return _stores[key]
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_text() -> Column:
+    return F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" user="), F.col("user_id"), F.lit(" type="), F.col("event_type"), F.lit(" props="), F.col("props"))
+
+
+#: Dataset, order, tie and lines of each table's records.
+_SHAPES = {
+    "documents": lambda: (F.col("lang"), F.col("doc_id"), F.xxhash64("text"), X.split_lines(F.col("text"))),
+    "events": lambda: (F.col("event_type"), F.col("event_id"), F.lit(0), F.array(_event_text())),
+    "pages": lambda: (F.regexp_extract("url", "://([^/:]+)", 1), F.col("page_id"), F.lit(0), X.split_lines(F.col("html"))),
+    "conversations": lambda: (F.col("role"), F.col("conv_id"), F.col("turn"), X.split_lines(F.col("text"))),
+}
+
+
+def document_lines(spark: SparkSession, sf_dir: str, ranges: DataFrame | None = None) -> DataFrame:
+    """Document texts, one dataset for each language; of ``ranges`` (dataset, lo, hi) only those numbers."""
+    return _as_given(store(spark, sf_dir, "documents").lines(ranges))
+
+
+def event_lines(spark: SparkSession, sf_dir: str, ranges: DataFrame | None = None) -> DataFrame:
     """Events as log lines, one dataset for each type."""
-    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" user="), F.col("user_id"), F.lit(" type="), F.col("event_type"), F.lit(" props="), F.col("props"))
-    return _numbered(_records(spark, sf_dir, "events", F.col("event_type"), F.col("event_id"), F.lit(0), F.array(text)))
+    return _as_given(store(spark, sf_dir, "events").lines(ranges))
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw pages, one dataset for each host."""
-    return _numbered(_records(spark, sf_dir, "pages", F.regexp_extract("url", "://([^/:]+)", 1), F.col("page_id"), F.lit(0), X.split_lines(F.col("html"))))
+    """Raw pages, one dataset for each host. Hosts are too many for folders, so pages are numbered where they are read."""
+    return _as_given(number_lines(_records(spark, sf_dir, "pages", *_SHAPES["pages"]()), row=ROW))
 
 
-def turn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def turn_lines(spark: SparkSession, sf_dir: str, ranges: DataFrame | None = None) -> DataFrame:
     """Conversation turns, one dataset for each role."""
-    return _numbered(_records(spark, sf_dir, "conversations", F.col("role"), F.col("conv_id"), F.col("turn"), X.split_lines(F.col("text"))))
+    return _as_given(store(spark, sf_dir, "conversations").lines(ranges))

@@ -30,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own[app]}"
 
 
-def _path(spark: SparkSession, at: str):
+def path_of(spark: SparkSession, at: str):
+    """The file system of a path, and the path in it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
@@ -38,7 +39,7 @@ def _path(spark: SparkSession, at: str):
 def new_path(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder, removed when the session ends."""
     at = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    fs, path = _path(spark, at)
+    fs, path = path_of(spark, at)
     fs.deleteOnExit(path)
     return at
 
@@ -46,7 +47,7 @@ def new_path(spark: SparkSession, tag: str) -> str:
 def remove(spark: SparkSession, *paths: str) -> None:
     """Drops scratch tables that nothing reads any more."""
     for at in paths:
-        fs, path = _path(spark, at)
+        fs, path = path_of(spark, at)
         fs.delete(path, True)
 
 
