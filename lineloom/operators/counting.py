@@ -1,7 +1,7 @@
 """Literal and regex counts, presence and first or last lines, for many specs in one scan.
 
-Specs are a small table ``(dataset, spec_id, literal, case_sensitive)``; the caller
-vouches for its size by building it from a list. Lines meet the specs of their own
+Specs are a short table ``(dataset, spec_id, literal, case_sensitive)``; Spark sends it
+to the lines if it is small. Thousands of literals are the automaton's. Lines meet the specs of their own
 dataset only, and counts are aggregated before they move.
 """
 
@@ -20,7 +20,7 @@ def literal_specs(spark, rows: list[tuple]) -> DataFrame:
 def literal_matches(lines: DataFrame, specs: DataFrame) -> DataFrame:
     """Lines with each spec of their dataset that they contain."""
     hit = X.contains(F.col("text"), F.col("literal"), F.col("case_sensitive"))
-    return lines.join(F.broadcast(specs), "dataset").where(hit)  # specs come from a list in the caller's program
+    return lines.join(specs, "dataset").where(hit)
 
 
 def summarise(matches: DataFrame, *keys: str) -> DataFrame:

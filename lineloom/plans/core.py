@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineloom.functions import text as X
+from lineloom.operators import automaton as A
 from lineloom.operators import counting as C
 from lineloom.plans.base import DL, EL, PL, TL, query, values
 from lineloom.sources import lines as L
@@ -78,6 +79,18 @@ def literal_count_events(spark, d):
     return _counts(spark, d, L.event_lines, EVENT_SPECS)
 
 
+_MANY = "SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{7,}')) AS literal FROM conversations"
+
+
+@query(f"""WITH {DL}, s AS ({_MANY}), d AS (SELECT *, lower(text) AS low FROM dl), m AS (SELECT dataset, literal, line_number FROM d JOIN s ON CASE WHEN len(literal) % 2 = 0 THEN contains(text, literal) ELSE contains(low, lower(literal)) END)
+    SELECT dataset, literal, count(*) AS n, min(line_number)::BIGINT AS first_line, max(line_number)::BIGINT AS last_line FROM m GROUP BY ALL""")
+def literal_many(spark, d):
+    """All longer words of the conversations, thousands of them, sought in the lines of every language in one scan; the case of those of even length counts."""
+    words = L.table(spark, d, "conversations").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{7,}"), F.lit(0))).alias("literal")).distinct()
+    specs = words.select(F.lit(None).cast("string").alias("dataset"), F.col("literal").alias("spec_id"), "literal", (F.length("literal") % 2 == 0).alias("case_sensitive"))
+    return A.many_counts(L.document_lines(spark, d), specs).drop("spec_id")
+
+
 _CITED = f"""WITH {EL}, s AS (SELECT * FROM {_ESPEC}), m AS (SELECT s.dataset, spec_id, line_number, text, row_number() OVER (PARTITION BY s.dataset, spec_id ORDER BY line_number) AS nth FROM el JOIN s USING (dataset) WHERE {_HIT})
     SELECT dataset, spec_id, nth::INTEGER AS nth, dataset || ':line:' || lpad(line_number::VARCHAR, 8, '0') || ':' || substr(sha256(text), 1, 16) AS evidence_id, line_number, 'sha256:' || sha256(text) AS line_hash FROM m WHERE nth <= 5"""
 
@@ -108,7 +121,7 @@ def regex_classes(spark, d):
 @query(f"WITH {DL}, s AS (SELECT * FROM {_DSPEC}) SELECT s.dataset, spec_id, count(*) FILTER (WHERE NOT {_HIT}) AS n_without FROM dl JOIN s USING (dataset) GROUP BY ALL")
 def absence_count(spark, d):
     hit = X.contains(F.col("text"), F.col("literal"), F.col("case_sensitive"))
-    both = L.document_lines(spark, d).join(F.broadcast(C.literal_specs(spark, DOC_SPECS)), "dataset")
+    both = L.document_lines(spark, d).join(C.literal_specs(spark, DOC_SPECS), "dataset")
     return both.groupBy("dataset", "spec_id").agg(F.count(F.when(~hit, 1)).alias("n_without"))
 
 
