@@ -31,9 +31,9 @@ from lineloom.storage import cut
 
 LONGEST, LEAST, SHARE, MOST, NONE = 5, 100, 100, 2000, "und"
 #: One document in SAMPLE is mined for proposals, at LOWER of the threshold that it would have in proportion.
-SAMPLE, LOWER, SEED = 8, 0.25, 13
+SAMPLE, LOWER, SEED = 8, 0.5, 13
 #: Bits of the filter: a power of two with 32 for each phrase, at most BITS.
-BITS, BLOCK = 1 << 28, 3 << 20
+BITS, BLOCK = 1 << 28, 2 << 20
 
 _MARK = b"\xff"  # stands in no UTF-8 text
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _MARK * 10)
@@ -139,6 +139,7 @@ def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | No
     """``(k, phrases, counts)`` of the phrases that start in a block, but for its last ``tail`` words, and that no pass before has counted."""
     numbers = _Numbers({_MARK: 0})
     ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+    words.clear()  # repeated words need no objects of their own any more
     own = list(numbers)
     text = pa.array(own, pa.binary())
     starts = np.ones(len(ids), bool)
@@ -161,7 +162,9 @@ def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | No
             return
         counted = (before[:-1] & before[1:])[at]
         last = ids[at + k - 1]
-        _, where, inverse = np.unique(number[at] * len(own) + last, return_index=True, return_inverse=True)
+        _, inverse = np.unique(number[at] * len(own) + last, return_inverse=True)
+        where = np.empty(int(inverse.max()) + 1, np.int64)
+        where[inverse] = np.arange(len(at))  # a place of each phrase
         head, end = number[at[where]], last[where]
         text_k = pc.binary_join_element_wise(text.take(pa.array(head)), pa.array(own, pa.binary()).take(pa.array(end)), b" ")
         h = _joined(h[head], word_hash[end])

@@ -81,7 +81,7 @@ def test_pieces_longer_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(P, "BLOCK", 500)
     counts = Counter()
     for lang, words, tail in P._blocks(batch):
-        for k, found, n in P._count_block(lang, words, tail, None, None, True):
+        for k, found, n in P._count_block(lang, list(words), tail, None, None, True):
             counts.update({(k, p): int(c) for p, c in zip(found.to_pylist(), n, strict=True)})
         for k in range(2, 6):
             ids = words[: len(words)]
