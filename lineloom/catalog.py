@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lineloom.plans import core, entities, positional, records, relational, stream, tiers
+from lineloom.plans import core, entities, positional, records, relational, search, stream, tiers
 from lineloom.plans.base import QUERIES, SQL
 
 FLAGSHIP = "literal_evidence"
-PLANS = (core, positional, entities, records, relational, tiers, stream)
+PLANS = (core, positional, entities, records, relational, search, tiers, stream)
 __all__ = ["FLAGSHIP", "PLANS", "QUERIES", "SQL"]

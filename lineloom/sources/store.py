@@ -65,7 +65,7 @@ class LineStore:
         return self.counters().groupBy("dataset").agg(F.sum("n").alias("lines"))
 
     def lines(self, ranges: DataFrame | None = None) -> DataFrame:
-        """``(dataset, line_number, text)``; of ``ranges`` (dataset, lo, hi), a row or none for each dataset, only those numbers.
+        """``(dataset, line_number, text)``; of ``ranges`` (dataset, lo, hi), some hundreds at most, only those numbers.
 
         Datasets choose folders and numbers choose row groups, before anything is read.
         """
