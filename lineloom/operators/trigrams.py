@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from lineloom.functions import text as X
 from lineloom.operators.counting import java_regex
+from lineloom.sources.store import coarse_ranges
 from lineloom.storage import Cut
 
 #: Lines of a block, blocks of a word, alternatives kept of a regex, trigrams sought by a pushed-down list, ranges of lines read.
@@ -170,10 +171,7 @@ class TrigramIndex:
         ``read`` gives the lines of ranges (dataset, lo, hi), at most about ``RANGES`` of them.
         """
         kept = Cut(self.candidates(specs), "candidates").df
-        span = kept.agg(F.max("word")).first()[0] or 0
-        wide = F.floor(F.col("word") / F.lit(-(-(span + 1) // RANGES)))
-        line = F.lit(BLOCK * WORD)
-        lines = read(kept.groupBy("dataset", wide).agg((F.min("word") * line + 1).alias("lo"), ((F.max("word") + 1) * line).alias("hi")).select("dataset", "lo", "hi"))
+        lines = read(coarse_ranges(kept, "word", BLOCK * WORD, RANGES))
         word, bit = _word()
         lines = lines.select(F.col("dataset").alias("of"), "line_number", "text", word.alias("at"), bit.alias("bit"))
         met = kept.join(lines, F.col("dataset").eqNullSafe(F.col("of")) & (F.col("word") == F.col("at"))).where("(shiftright(mask, bit) & 1) = 1")

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
 from lineloom.functions import text as X
@@ -171,14 +172,24 @@ def corpus_difference(lines: DataFrame, files: DataFrame) -> DataFrame:
     there are; ``numbering`` if the table's numbers don't run from 1 without gaps or
     repeats, with the count that they should reach.
     """
+    each = lines.groupBy("dataset", "line_number").agg(F.count(F.lit(1)).alias("times")).groupBy("dataset")
+    each = each.agg(F.sum("times").alias("n"), F.min("line_number").alias("lo"), F.max("line_number").alias("hi"), (F.max("times") > 1).alias("repeats"))
+    found = line_difference(lines, files)
+    return found.unionByName(numbering_flaws(each, found.schema["line_number"].dataType))
+
+
+def line_difference(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """``missing``, ``extra`` and other ``text`` of ``corpus_difference``."""
     a = lines.select("dataset", "line_number", F.col("text").alias("t"), F.lit(True).alias("ta"))
     b = files.select("dataset", "line_number", F.col("text").alias("f"), F.lit(True).alias("fa"))
     both = a.join(b, ["dataset", "line_number"], "full_outer")
     problem = F.when(F.col("ta").isNull(), "missing").when(F.col("fa").isNull(), "extra").when(~F.col("t").eqNullSafe(F.col("f")), "text")
-    found = both.withColumn("problem", problem).where("problem is not null").groupBy("dataset", "problem").agg(F.min("line_number").alias("line_number"), F.count(F.lit(1)).alias("n"))
-    each = lines.groupBy("dataset", "line_number").agg(F.count(F.lit(1)).alias("times")).groupBy("dataset").agg(F.sum("times").alias("n"), F.min("line_number").alias("lo"), F.max("line_number").alias("hi"), F.max("times").alias("times"))
-    gaps = each.where("lo <> 1 or hi <> n or times > 1").select("dataset", F.lit("numbering").alias("problem"), F.col("n").cast(found.schema["line_number"].dataType).alias("line_number"), "n")
-    return found.unionByName(gaps)
+    return both.withColumn("problem", problem).where("problem is not null").groupBy("dataset", "problem").agg(F.min("line_number").alias("line_number"), F.count(F.lit(1)).alias("n"))
+
+
+def numbering_flaws(each: DataFrame, number: DataType) -> DataFrame:
+    """``numbering`` of ``corpus_difference``, from ``each`` (dataset, n, lo, hi, repeats)."""
+    return each.where("lo <> 1 or hi <> n or repeats").select("dataset", F.lit("numbering").alias("problem"), F.col("n").cast(number).alias("line_number"), "n")
 
 
 def uncovered(manifest: DataFrame, records: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineloom.functions import text as X
+from lineloom.operators import digests as D
 from lineloom.operators import positional as P
 from lineloom.operators import records as R
 from lineloom.operators import review as W
@@ -12,6 +13,7 @@ from lineloom.operators import splits as S
 from lineloom.operators import validation as V
 from lineloom.plans.base import EL, query, values
 from lineloom.sources import lines as L
+from lineloom.storage import new_path
 
 #: (dataset, kind, position, literal, case_sensitive)
 SPECS = [
@@ -39,17 +41,15 @@ def _pick(n: int):
     return F.conv(F.substring(F.md5(F.col("id").cast("binary")), 1, 4), 16, 10).cast("long") % n
 
 
-def _digests(lines):
-    """A digest of each dataset: of the sorted digests of its blocks of lines, so no task holds a dataset."""
-    blocks = lines.groupBy("dataset", F.floor(F.col("line_number") / 1000).alias("b")).agg(F.array_sort(F.collect_list(F.struct("line_number", "text"))).alias("ls"))
-    sums = blocks.select("dataset", "b", F.sha2(F.array_join(F.transform("ls", lambda x: x.text), "\n"), 256).alias("h"))
-    return sums.groupBy("dataset").agg(X.digest(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x.h), ",")).alias("corpus_sha256"))
+def _digests(spark, d):
+    """A digest of each dataset: the root of its tree."""
+    return L.tree(spark, d, "events").roots()
 
 
 def _records(spark, d):
     lines = L.event_lines(spark, d)
     specs = spark.createDataFrame(SPECS, "dataset string, kind string, position string, literal string, case_sensitive boolean")
-    digests = _digests(lines)
+    digests = _digests(spark, d)
     return lines, digests, R.easy_records(lines, specs, digests)
 
 
@@ -167,13 +167,36 @@ def validation_clean(spark, d):
     return good.agg(F.count(F.lit(1)).alias("records")).crossJoin(V.all_findings(good, lines, digests).agg(F.count(F.lit(1)).alias("findings")))  # one row each
 
 
-@query(f"WITH {EL}, f AS (SELECT dataset, line_number, CASE WHEN line_number % 97 = 0 THEN text || '!' ELSE text END AS text FROM el WHERE line_number % 501 <> 0), b AS (SELECT coalesce(el.dataset, f.dataset) AS dataset, coalesce(el.line_number, f.line_number) AS line_number, CASE WHEN el.dataset IS NULL THEN 'missing' WHEN f.dataset IS NULL THEN 'extra' WHEN el.text IS DISTINCT FROM f.text THEN 'text' END AS problem FROM el FULL JOIN f ON el.dataset = f.dataset AND el.line_number = f.line_number) SELECT dataset, problem, min(line_number) AS line_number, count(*) AS n FROM b WHERE problem IS NOT NULL GROUP BY ALL")
+_DIFFER = f"WITH {EL}, f AS (SELECT dataset, line_number, CASE WHEN line_number % 97 = 0 THEN text || '!' ELSE text END AS text FROM el WHERE line_number % 501 <> 0), b AS (SELECT coalesce(el.dataset, f.dataset) AS dataset, coalesce(el.line_number, f.line_number) AS line_number, CASE WHEN el.dataset IS NULL THEN 'missing' WHEN f.dataset IS NULL THEN 'extra' WHEN el.text IS DISTINCT FROM f.text THEN 'text' END AS problem FROM el FULL JOIN f ON el.dataset = f.dataset AND el.line_number = f.line_number) SELECT dataset, problem, min(line_number) AS line_number, count(*) AS n FROM b WHERE problem IS NOT NULL GROUP BY ALL"
+
+
+@query(_DIFFER)
 def corpus_difference(spark, d):
     lines = L.event_lines(spark, d)
     files = lines.where("line_number % 501 <> 0").withColumn("text", F.when(F.col("line_number") % 97 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
     return V.corpus_difference(lines, files)
 
 
+def _changed(lines):
+    """Lines of files that differ from the table in a few places."""
+    return lines.where("line_number % 1503 <> 1200").withColumn("text", F.when(F.col("line_number") % 1801 == 1100, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+
+
+@query(_DIFFER.replace("% 97 = 0", "% 1801 = 1100").replace("% 501 <> 0", "% 1503 <> 1200"))
+def digest_difference(spark, d):
+    """The same comparison by digest trees: only lines of leaves that differ are read and compared."""
+    read = lambda ranges: L.event_lines(spark, d, ranges)
+    files = D.build(_changed(read(None)), new_path(spark, "digests-files"))
+    return D.difference(L.tree(spark, d, "events"), read, files, lambda ranges: _changed(read(ranges)))
+
+
+@query(f"WITH {EL}, x AS (SELECT dataset, min(line_number) - 1 AS z FROM el WHERE line_number % 1503 = 1200 OR line_number % 1801 = 1100 GROUP BY dataset) SELECT dataset, (z // {D.LEAF} * {D.LEAF} + 1)::BIGINT AS lo, (z // {D.LEAF} * {D.LEAF} + {D.LEAF})::BIGINT AS hi FROM x")
+def digest_first_difference(spark, d):
+    """In which range of numbers each dataset first differs, found by descent."""
+    files = D.build(_changed(L.event_lines(spark, d)), new_path(spark, "digests-files"))
+    return D.first_difference(L.tree(spark, d, "events"), files)[0]
+
+
 @query(f"WITH {_ER} SELECT DISTINCT lang AS dataset FROM documents UNION SELECT event_type FROM events EXCEPT SELECT dataset FROM er")
 def manifest_coverage(spark, d):
     manifest = L.table(spark, d, "documents").select(F.col("lang").alias("dataset")).unionByName(L.table(spark, d, "events").select(F.col("event_type").alias("dataset"))).distinct()

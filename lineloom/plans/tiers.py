@@ -34,17 +34,17 @@ def _drafts(asked: DataFrame) -> DataFrame:
 
 def _medium(spark, d) -> DataFrame:
     lines = L.event_lines(spark, d)
-    return R.medium_evidence(lines, ANCHOR, Q._digests(lines), QUOTA)
+    return R.medium_evidence(lines, ANCHOR, Q._digests(spark, d), QUOTA)
 
 
 def _comparative(spark, d) -> DataFrame:
     lines = L.event_lines(spark, d)
-    return R.hard_evidence(R.comparative_sides(lines, USER, LEAST, SETS), "users", "Comparison", COMPARE, Q._digests(lines), CAP)
+    return R.hard_evidence(R.comparative_sides(lines, USER, LEAST, SETS), "users", "Comparison", COMPARE, Q._digests(spark, d), CAP)
 
 
 def _correlation(spark, d) -> DataFrame:
     lines = L.event_lines(spark, d)
-    return R.hard_evidence(R.correlation_sides(lines, USER, K, LEAST, SETS), "user_k", "Correlation", LINK, Q._digests(lines), CAP)
+    return R.hard_evidence(R.correlation_sides(lines, USER, K, LEAST, SETS), "user_k", "Correlation", LINK, Q._digests(spark, d), CAP)
 
 
 _ORDINAL = "CASE WHEN rn <= 10 THEN ['first', 'second', 'third', 'fourth', 'fifth', 'sixth', 'seventh', 'eighth', 'ninth', 'tenth'][rn] ELSE rn || CASE WHEN rn % 100 BETWEEN 11 AND 13 THEN 'th' WHEN rn % 10 = 1 THEN 'st' WHEN rn % 10 = 2 THEN 'nd' WHEN rn % 10 = 3 THEN 'rd' ELSE 'th' END END"

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineloom.functions import text as X
+from lineloom.operators import digests, trigrams
 from lineloom.operators.numbering import number_lines
-from lineloom.operators.trigrams import TrigramIndex, build
 from lineloom.session import table
 from lineloom.sources.store import LineStore
 from lineloom.storage import new_path, path_of
@@ -39,7 +39,8 @@ def read_lines(spark: SparkSession, path: str, dataset: str | None = None) -> Da
 #: What tells the rows of a table apart: their file and their place in it.
 ROW = ("file", "row")
 _stores: dict[tuple, LineStore] = {}
-_indexes: dict[str, TrigramIndex] = {}
+_indexes: dict[str, trigrams.TrigramIndex] = {}
+_trees: dict[str, digests.DigestTree] = {}
 
 
 def _records(spark: SparkSession, sf_dir: str, name: str, dataset: Column, order: Column, tie: Column, lines: Column) -> DataFrame:
@@ -66,14 +67,22 @@ def store(spark: SparkSession, sf_dir: str, name: str) -> LineStore:
     return _stores[key]
 
 
-def index(spark: SparkSession, sf_dir: str, name: str) -> TrigramIndex:
+def index(spark: SparkSession, sf_dir: str, name: str) -> trigrams.TrigramIndex:
     """The trigram index of a table's line store, in shared storage: built at its first use in a session, and again with the store."""
     of = store(spark, sf_dir, name)
     if of.path not in _indexes:
-        _indexes[of.path] = build(of.lines(), new_path(spark, f"trigrams-{name}"))
+        _indexes[of.path] = trigrams.build(of.lines(), new_path(spark, f"trigrams-{name}"))
     return _indexes[of.path]
 
 
+def tree(spark: SparkSession, sf_dir: str, name: str) -> digests.DigestTree:
+    """The digest tree of a table's line store, kept in the same way."""
+    of = store(spark, sf_dir, name)
+    if of.path not in _trees:
+        _trees[of.path] = digests.build(of.lines(), new_path(spark, f"digests-{name}"))
+    return _trees[of.path]
+
+
 def _event_text() -> Column:
     return F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" user="), F.col("user_id"), F.lit(" type="), F.col("event_type"), F.lit(" props="), F.col("props"))
 

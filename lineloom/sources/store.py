@@ -117,3 +117,10 @@ class LineStore:
 def wanted_ranges(refs: DataFrame) -> DataFrame:
     """``(dataset, lo, hi)``: between which numbers the references (dataset, line_number) of each dataset lie."""
     return refs.groupBy("dataset").agg(F.min("line_number").cast("long").alias("lo"), F.max("line_number").cast("long").alias("hi"))
+
+
+def coarse_ranges(places: DataFrame, node: str, lines: int, most: int = 512) -> DataFrame:
+    """``(dataset, lo, hi)``: ranges of numbers that cover the nodes, of ``lines`` lines each, in ``places`` (dataset, node): about ``most`` at most, so that they may be collected."""
+    span = places.agg(F.max(node) - F.min(node)).first()[0] or 0
+    wide = F.floor(F.col(node) / F.lit(-(-(span + 1) // most)))
+    return places.groupBy("dataset", wide).agg((F.min(node) * lines + 1).alias("lo"), ((F.max(node) + 1) * lines).alias("hi")).select("dataset", "lo", "hi")
