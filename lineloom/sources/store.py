@@ -120,7 +120,8 @@ def wanted_ranges(refs: DataFrame) -> DataFrame:
 
 
 def coarse_ranges(places: DataFrame, node: str, lines: int, most: int = 512) -> DataFrame:
-    """``(dataset, lo, hi)``: ranges of numbers that cover the nodes, of ``lines`` lines each, in ``places`` (dataset, node): about ``most`` at most, so that they may be collected."""
-    span = places.agg(F.max(node) - F.min(node)).first()[0] or 0
-    wide = F.floor(F.col(node) / F.lit(-(-(span + 1) // most)))
-    return places.groupBy("dataset", wide).agg((F.min(node) * lines + 1).alias("lo"), ((F.max(node) + 1) * lines).alias("hi")).select("dataset", "lo", "hi")
+    """``(dataset, lo, hi)``: ranges of numbers that cover the nodes, of ``lines`` lines each, in ``places`` (dataset, node): at most ``most``, or one for each dataset, so that they may be collected."""
+    least, last, datasets = places.agg(F.min(node), F.max(node), F.count_distinct(F.coalesce("dataset", F.lit("")))).first()
+    wide = -(-((last or 0) - (least or 0) + 1) // max(1, most // max(1, datasets)))
+    part = F.floor((F.col(node) - F.lit(least or 0)) / F.lit(wide))
+    return places.groupBy("dataset", part).agg((F.min(node) * lines + 1).alias("lo"), ((F.max(node) + 1) * lines).alias("hi")).select("dataset", "lo", "hi")
