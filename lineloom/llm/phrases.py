@@ -37,7 +37,7 @@ BITS, BLOCK = 1 << 28, 2 << 20
 
 _MARK = b"\xff"  # stands in no UTF-8 text
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _MARK * 10)
-_COUNTS = "lang string, k int, phrase string, n long"
+_COUNTS = "key string, n long"  # phrase, tab, language: a phrase has no tab, and one column is shuffled in less than three
 
 
 class _Numbers(dict):
@@ -186,13 +186,21 @@ def _counter(bits, old, first: bool, longest: int):
         now, before = (None if b is None else b.value for b in (bits, old))
         for b in batches:
             for lang, words, tail in _blocks(b):
-                for k, phrases, n in _count_block(lang, words, tail, now, before, first, longest):
-                    size = len(n)
-                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, size), pa.array(np.full(size, k, np.int32)), phrases.cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "k", "phrase", "n"])
+                own = pa.scalar(lang.encode())
+                for _, phrases, n in _count_block(lang, words, tail, now, before, first, longest):
+                    yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(phrases, own, b"\t").cast(pa.string()), pa.array(n.astype(np.int64))], names=["key", "n"])
 
     return run
 
 
+def _named(counts: DataFrame) -> DataFrame:
+    """``(lang, k, phrase, n)`` of keys; no words are ``k`` 0."""
+    phrase = F.substring_index("key", "\t", 1)
+    spaces = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+    rows = counts.select(F.expr("substring(key, instr(key, '\t') + 1)").alias("lang"), phrase.alias("phrase"), "n")
+    return rows.select("lang", F.when(F.col("phrase") == "", 0).otherwise(spaces + 1).cast("int").alias("k"), "phrase", "n")
+
+
 def frequent(texts: DataFrame, least: float, known: DataFrame | None = None, size: int | None = None, longest: int = LONGEST) -> DataFrame:
     """``(lang, k, phrase, n)``: all phrases of 1 to ``longest`` words with ``n >= least``, and all words of a language as ``k`` 0.
 
@@ -206,7 +214,7 @@ def frequent(texts: DataFrame, least: float, known: DataFrame | None = None, siz
     held = [share(bits), None]
     for _ in range(longest + 1):
         counts = texts.mapInArrow(_counter(*held, not tables, longest), _COUNTS)
-        found = cut(counts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrases")
+        found = cut(_named(counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)), "phrases")
         tables.append(found)
         new = found.where(f"k between 1 and {longest - 1}").select("lang", "phrase")
         if known is not None:
