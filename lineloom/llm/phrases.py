@@ -181,13 +181,68 @@ def _count_block(lang: str, words: list[bytes], tail: int, bits: np.ndarray | No
         number, text = number_k, text_k
 
 
-def _counter(bits, old, first: bool, longest: int):
+def _count_gain(words: list[bytes], lang: str, tail: int, bits: np.ndarray, old: np.ndarray, gain: np.ndarray, longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """What ``_count_block`` tells under ``bits`` and ``old``, by the few places that hold a phrase of ``bits`` that isn't in ``old``.
+
+    ``gain`` are the bits that ``old`` lacks: a new phrase has one of its two there. A
+    phrase counts if all its shorter parts are in ``bits`` and were not all in ``old``.
+    """
+    numbers = _Numbers({_MARK: 0})
+    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+    words.clear()
+    own = list(numbers)
+    text, word_hash = pa.array(own, pa.binary()), _word_hashes(lang, own)
+
+    def fresh(h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h), bool)
+        for spot in _spots(h, len(gain) * 8):
+            out |= (gain[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        some = np.flatnonzero(out)
+        out[some] = _within(bits, h[some]) & ~_within(old, h[some])
+        return out
+
+    by_word = word_hash[ids]
+    level = [by_word]  # level[k - 1][i]: the hash of the k words from i
+    some = fresh(word_hash)[ids]  # whether a new phrase lies in the k words from i
+    real = ids > 0
+    in_now, in_old = _within(bits, word_hash)[ids] & real, _within(old, word_hash)[ids] & real
+    for k in range(2, longest + 1):
+        if len(ids) < k:
+            return
+        some = some[:-1] | some[1:]
+        at = np.flatnonzero(some)
+        if k > 2:  # parts of k - 1 words and less; those of one word are known at all places
+            level.append(_joined(level[-1][:-1], by_word[k - 2 :]))
+            new = fresh(level[-1])
+            some = some | new[:-1] | new[1:]
+            at = np.flatnonzero(some)
+        now, before = np.ones(len(at), bool), np.ones(len(at), bool)
+        for j in range(k):
+            now &= in_now[at + j]
+        at, before = at[now], before[now]
+        for j in range(k):
+            before &= in_old[at + j]
+        for size in range(2, k):
+            for j in range(k - size + 1):
+                h = level[size - 1][at + j]
+                now = _within(bits, h)
+                at, before = at[now], (before & _within(old, h))[now]
+        at = at[~before]
+        at = at[at < len(ids) - tail]
+        if len(at):
+            found = pc.value_counts(pc.binary_join_element_wise(*[text.take(pa.array(ids[at + j])) for j in range(k)], b" "))
+            yield k, found.field("values"), found.field("counts").to_numpy()
+
+
+def _counter(bits, old, first: bool, longest: int, gains: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = (None if b is None else b.value for b in (bits, old))
+        gain = now & ~before if gains and before is not None and not first else None
         for b in batches:
             for lang, words, tail in _blocks(b):
                 own = pa.scalar(lang.encode())
-                for _, phrases, n in _count_block(lang, words, tail, now, before, first, longest):
+                found = _count_block(lang, words, tail, now, before, first, longest) if gain is None else _count_gain(words, lang, tail, now, before, gain, longest)
+                for _, phrases, n in found:
                     yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(phrases, own, b"\t").cast(pa.string()), pa.array(n.astype(np.int64))], names=["key", "n"])
 
     return run
@@ -205,15 +260,17 @@ def frequent(texts: DataFrame, least: float, known: DataFrame | None = None, siz
     """``(lang, k, phrase, n)``: all phrases of 1 to ``longest`` words with ``n >= least``, and all words of a language as ``k`` 0.
 
     ``texts`` is (lang, text). ``known`` (lang, phrase) are proposals; without any, the
-    passes are levels. Each further pass counts only what the border gained.
+    passes are levels. Each further pass counts only what the border gained; with
+    proposals that is little, and looked for from the places of new phrases.
     """
     spark = texts.sparkSession
     share = lambda b: None if b is None else spark.sparkContext.broadcast(b)  # noqa: E731  at most BITS / 8 bytes
     size = filter_size(known.count() if known is not None else 1 << 20) if size is None else size
     bits, old, tables = phrase_filter(known, size) if known is not None else None, None, []
     held = [share(bits), None]
+    few = known is not None
     for _ in range(longest + 1):
-        counts = texts.mapInArrow(_counter(*held, not tables, longest), _COUNTS)
+        counts = texts.mapInArrow(_counter(*held, not tables, longest, few), _COUNTS)
         found = cut(_named(counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)), "phrases")
         tables.append(found)
         new = found.where(f"k between 1 and {longest - 1}").select("lang", "phrase")

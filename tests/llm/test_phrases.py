@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -72,6 +73,36 @@ def test_what_the_sample_misses_is_found(spark, monkeypatch):
     assert {r[1] for r in want} == {0, 1, 2, 3, 4, 5}
 
 
+def test_gains_alone_are_what_a_whole_count_tells():
+    """Over random texts, proposals and filters so small that they hold much by mistake."""
+
+    def filled(phrases, size):
+        bits = np.zeros(size // 8, np.uint8)
+        for phrase in phrases:
+            for spot in P._spots(P.reduce(P._joined, [P._word_hashes("en", [w]) for w in phrase.split(b" ")]), size):
+                bits[int(spot[0]) >> 3] |= 1 << (int(spot[0]) & 7)
+        return bits
+
+    for seed in range(30):
+        rng = random.Random(seed)
+        words = [rng.choice([*(b"w%d" % i for i in range(12)), P._MARK]) for _ in range(rng.choice([4, 5, 300]))]
+        parts = [b" ".join(words[i : i + k]) for k in (1, 2, 3, 4) for i in range(len(words) - k + 1) if P._MARK not in words[i : i + k]]
+        size = rng.choice([64, 256, 1 << 16])
+        old = filled(rng.sample(parts, len(parts) // rng.choice([1, 2, 3])), size)
+        bits = old | filled(rng.sample(parts, len(parts) // rng.choice([4, 8, 30])), size)
+        for longest, tail in ((4, 0), (5, 4)):
+            whole, gains = Counter(), Counter()
+            for found, counts in ((P._count_block("en", list(words), tail, bits, old, False, longest), whole), (P._count_gain(list(words), "en", tail, bits, old, bits & ~old, longest), gains)):
+                for _, phrases, n in found:
+                    counts.update(dict(zip(phrases.to_pylist(), map(int, n), strict=True)))
+            assert whole == gains
+
+
+def test_languages_of_any_name(spark):
+    rows = [(x, "one two\tone two") for x in ("a\tb", "", " ", "\t") for _ in range(3)]
+    assert told(P.collocations(spark.createDataFrame(rows, "lang string, text string"), least=5)) == [(x, *r[1:]) for x in sorted({r[0] for r in rows}) for r in brute([("q", r[1]) for r in rows[:3]], 5)]
+
+
 def test_pieces_longer_than_a_block(spark, monkeypatch):
     """A text of one piece and a word, both longer than a block: no phrase is lost at an edge."""
     rng = random.Random(6)
