@@ -1,5 +1,6 @@
 import random
 
+from lineloom.llm.queries import op1
 from lineloom.llm.urlfilter import filter_urls
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("example.com", "", "block"), ("a.example.com", "/e", "allow"), ("net", "/de/", "block"), ("com", "/en/", "allow")]
@@ -42,3 +43,13 @@ def test_empty_tables_and_repeated_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.com/en/"), (1, "http://a.com/en/"), (None, None)], "page_id long, url string")
     assert [r.verdict for r in filter_urls(pages, none).collect()] == ["allow"] * 3
     assert filter_urls(pages.limit(0), none).count() == 0
+
+
+def test_query_has_the_rules_of_its_contract(spark, tmp_path):
+    cases = [
+        ("http://www.example.com/en/1", "com/en/", "block"), ("http://a.com/en/", "com/en/", "block"), ("http://example.com/en/71", "example.com/en/7", "allow"),
+        ("http://a.net/de/1", "net/de/", "allow"), ("http://www.example.net/de/7", "net/de/", "allow"), ("http://example.net/de/8", "example.net/de/8", "block"),
+        ("http://x.example.net/de/81?q", "example.net/de/8", "block"), ("http://a.org/es/", "org/es/", "block"), ("http://a.net/en/1", None, "allow"), (None, None, "allow"),
+    ]
+    spark.createDataFrame([(i, u) for i, (u, _, _) in enumerate(cases)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id: (r.rule, r.verdict) for r in op1(spark, str(tmp_path)).collect()} == {i: (r, v) for i, (_, r, v) in enumerate(cases)}
