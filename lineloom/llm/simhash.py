@@ -19,11 +19,13 @@ chunks is a block of its own, so no task holds a large bucket. A block with many
 fingerprints returns a spanning forest of its links, not all pairs. Components are
 contracted by alternating stars. Nothing is capped and nothing is collected.
 
-Three bits reach few pairs of lower similarity, so :func:`keep_one_similar` links
-rows by the exact Jaccard similarity of their sets of five-word shingles. Candidates
-share a block pair of the fingerprint or one of ``BANDS`` keys, each of ``ROWS``
-minima of the set under other hashes: at similarity 0.8 one pair in 16,000 shares
-none. Shingles that no other set has bound what a set can have in common with any, so
+:func:`keep_one_similar` links rows by the exact Jaccard similarity of their sets of
+five-word shingles. It begins with the search above, over fingerprints of those
+shingles: what the pivot tables and bits leave is verified by the sets, and only sets
+that this didn't join are looked at any further. Three bits reach few pairs of lower
+similarity, so further candidates share a block pair of the fingerprint, however many
+bits differ, or one of ``BANDS`` keys, each of ``ROWS`` minima of the set under other
+hashes: at similarity 0.8 one pair in 16,000 shares none. Shingles that no other set has bound what a set can have in common with any, so
 heavily edited copies drop out before pairs are made. All candidates of a bucket meet
 its centre, the set with the least share of such shingles; then only pairs that this
 left in different components are looked at, each pair once, inside blocks of bounded
@@ -271,24 +273,25 @@ def _members(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int = WIDE) -> DataFrame:
-    """``(id, digest, n, keys, minima)`` of rows ``(id, text)``: a hash of the row's set of shingles, its size, its buckets, and 16 bits of each minimum followed by the set's residues."""
+    """``(id, digest, n, fp, keys, minima)`` of rows ``(id, text)``: a hash of the row's set of shingles, its size, its fingerprint, its buckets, and 16 bits of each minimum followed by the set's residues."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors()
         for b in batches:
-            digests, sizes, keys, minima = [], [], [], []
+            digests, sizes, fps, keys, minima = [], [], [], [], []
             for t in b.column(1):
                 hashes = list(shingle_hashes(t.as_py(), size))
                 members = _members(hashes)
                 least = _minima(members, factors)
                 digests.append(xxhash.xxh64_intdigest(members.tobytes(), SEED))
                 sizes.append(len(members))
-                keys.append(_keys(least, _majority(hashes), factors).tolist() if len(members) else [])
+                fps.append(_majority(hashes))
+                keys.append(_keys(least, fps[-1], factors).tolist() if len(members) else [])
                 minima.append((least >> np.uint64(48)).astype("<u2").tobytes() + _bits(members))
-            columns = [b.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(minima, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "n", "keys", "minima"])
+            columns = [b.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(minima, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "n", "fp", "keys", "minima"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest bigint, n bigint, keys array<bigint>, minima binary")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest bigint, n bigint, fp bigint, keys array<bigint>, minima binary")
 
 
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -353,10 +356,25 @@ def _near_minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(pa.Table.from_batches(held).combine_chunks())
 
 
+def pivot_pairs(classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs ``(src, dst)`` of sets ``(digest, n, fp)`` that the search by pivot tables gives.
+
+    A fingerprint stands for its first set: the other sets with it meet that one, and
+    first sets meet if their fingerprints link.
+    """
+    some = classes.where("n > 0").select("digest", "fp")
+    first = cut(some.groupBy("fp").agg(F.min("digest").alias("first")), "fingerprints")
+    same = some.join(first, "fp").where("digest <> first").select(F.col("first").alias("src"), F.col("digest").alias("dst"))
+    links = fingerprint_links(first.select("fp"), block=block).select(F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y")).distinct()
+    for end, name in (("x", "src"), ("y", "dst")):
+        links = links.join(first.select(F.col("fp").alias(end), F.col("first").alias(name)), end)
+    return same.unionByName(links.select("src", "dst"))
+
+
 def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block: int = BLOCK, few: int = FEW) -> DataFrame:
     """Links ``(src, dst)`` that give the components of similar sets.
 
-    ``classes`` is (digest, n, keys, id) with the id of one row of each set, ``texts``
+    ``classes`` is (digest, n, fp, keys, id) with the id of one row of each set, ``texts``
     (id, text). The ids whose texts are needed are broadcast if there are at most
     ``few``, else joined.
     """
@@ -377,8 +395,13 @@ def similar_links(classes: DataFrame, texts: DataFrame, size: int = WIDE, block:
         both = pairs.join(sides[0], "src").join(sides[1], "dst")
         return both.where(_alike(F.size(F.array_intersect("msrc", "mdst")), F.size("msrc"), F.size("mdst"))).select("src", "dst")
 
+    close = cut(verify(pivot_pairs(classes, block)), "close")  # fingerprints that link share a bucket, so all their sets are there
+    joined = cut(connected_components(close), "joined")
     stars = dealt.where((F.col("digest") != F.col("first")) & may(F.col("n"), F.col("first_n"), F.col("most"), F.col("first_most"))).select(F.col("first").alias("src"), F.col("digest").alias("dst")).distinct()
-    near = cut(verify(stars), "stars")
+    for end in ("src", "dst"):
+        stars = stars.join(joined.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
+    apart = F.coalesce("csrc", "src") != F.coalesce("cdst", "dst")
+    near = cut(close.unionByName(verify(stars.where(apart).select("src", "dst"))), "stars")
     named = dealt.join(connected_components(near).withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     named = cut(named.select("key", "band", "digest", "n", "most", "first", "component"), "named")
     mixed = cut(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "mixed")
@@ -398,7 +421,7 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     keyed = _named_rows(docs, id_col, text_col)
     found = cut(sketches(keyed, size), "sketches")
-    classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("minima").alias("minima"), F.min("id").alias("id")), "classes")
+    classes = cut(found.groupBy("digest").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("minima").alias("minima"), F.min("id").alias("id")), "classes")
     label = connected_components(similar_links(classes, keyed, size, block)).withColumnRenamed("node", "digest")
     named = found.select("id", "digest").join(label, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     return _first_rows(docs, id_col, named)

@@ -131,3 +131,36 @@ def test_keep_one_similar_in_large_buckets(spark):
         rows.append((i, " ".join(t)))
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
     assert sorted(r.doc_id for r in S.keep_one_similar(df, block=16).collect()) == similar(rows)[1]
+
+
+def test_keep_one_similar_begins_with_the_pivot_search(spark, monkeypatch):
+    """The stage gets pairs from fingerprints within three bits, and the exact check decides on them."""
+    rng = random.Random(8)
+    rows = [(0, ""), (1, None)]
+    for n in (8, 60, 400):
+        for _ in range(6):
+            t = [f"w{rng.randrange(3000)}" for _ in range(n)]
+            for edits in (0, 0, 1, n // 40, n // 20):
+                copy = list(t)
+                for at in rng.sample(range(n), edits):
+                    copy[at] = f"new{rng.randrange(10**6)}"
+                rows.append((len(rows), " ".join(copy)))
+            rows.append((len(rows), " ".join(t + t)))  # another set, an almost equal fingerprint
+    texts = spark.createDataFrame(rows, "id long, text string")
+    sets = {r.digest: r for r in S.sketches(texts).collect()}
+    assert {r.fp for r in sets.values()} == {S.fingerprint(t, S.WIDE) - (S.fingerprint(t, S.WIDE) >> 63 << 64) for _, t in rows}
+    linked = {d: d for d, r in sets.items() if r.n}
+    for a in linked:
+        for b in linked:
+            if linked[a] != linked[b] and ((sets[a].fp ^ sets[b].fp) & (1 << 64) - 1).bit_count() <= S.BITS:
+                linked = {k: min(linked[a], linked[b]) if v in (linked[a], linked[b]) else v for k, v in linked.items()}
+    pairs = S.pivot_pairs(spark.createDataFrame(list(sets.values())), block=16)
+    from lineloom.operators.components import connected_components
+
+    got = {r.node: r.component for r in connected_components(pairs).collect()}
+    assert len(got) > 20 and {d: got.get(d, d) for d in linked} == linked
+    called, search = [], S.fingerprint_links
+    monkeypatch.setattr(S, "fingerprint_links", lambda *a, **k: called.append(1) or search(*a, **k))
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in S.keep_one_similar(df).collect()) == similar(rows)[1]
+    assert called
