@@ -21,7 +21,10 @@ the parse has there. All windows of one trigger are a block.
    windows with fewer than ``WIDTH - b`` or more than ``a`` bytes before the trigger
    repeat nowhere, and the windows that a neighbour shares are repeated.
 4. The few windows between these bounds that no neighbour shares may still be those of
-   an entry further off. They alone are told one by one, by names of 128 bits.
+   an entry further off. They are dealt to cells of ``CELL`` windows that follow each
+   other. The bytes that all windows of a cell share are named for every entry of the
+   core; only where an entry with open windows has its name in common with another one
+   are windows told one by one, by names of 128 bits.
 
 Windows too far from any trigger (long runs without one) are blocks of one window.
 Repeated windows are then marked, and their bytes removed. The bytes that neighbours
@@ -55,7 +58,7 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import Cut, cut
 
-WIDTH, NEAR, ROLL, REACH, PASSAGE, PIECE, MARGIN, KEYS = 400, 32, 16, 239, 50, 1 << 20, 1024, 1_000_000
+WIDTH, NEAR, ROLL, REACH, PASSAGE, PIECE, MARGIN, KEYS, CELL = 400, 32, 16, 239, 50, 1 << 20, 1024, 1_000_000, 16
 TAIL, AHEAD = WIDTH - REACH, WIDTH - NEAR  # bytes right of a trigger: in its core, and in its span
 CORE, NONE = NEAR + TAIL, 255
 _rng = np.random.default_rng(400)
@@ -333,7 +336,7 @@ def _in_order(entries: DataFrame, *by: str) -> DataFrame:
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated windows and common stretches of entries, as codes, and the range of windows that is left open."""
+    """Repeated windows and common stretches of entries, as codes, and a bit for each cell with windows that are left open."""
     for batch in batches:
         out = []
         for core, k1, k2, place, kind, a, b, shared in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -342,17 +345,40 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for pair in set(shared):
                 x, y = pair >> 12, pair >> 1 & 2047
                 if pair & 1:
-                    out.append((core, k1, k2, (t << 20 | x << 11 | y) << 3 | STRETCH, None, None))
+                    out.append((core, k1, k2, (t << 20 | x << 11 | y) << 3 | STRETCH, place, 0))
                 lo, hi = max(least, WIDTH - y), min(most, x)
                 if kind == ONE and lo <= hi:
-                    out.append((core, k1, k2, (t << 16 | hi << 8 | lo) << 3 | WITHIN, None, None))
+                    out.append((core, k1, k2, (t << 16 | hi << 8 | lo) << 3 | WITHIN, place, 0))
                     free[lo : hi + 1] = [False] * (hi + 1 - lo)
             if kind == ONE:
                 open_ = [x for x in range(max(least, WIDTH - b), min(most, a) + 1) if free[x]]
                 if open_:
-                    out.append((core, k1, k2, None, open_[0], open_[-1]))
+                    out.append((core, k1, k2, None, place, sum({1 << x // CELL for x in open_})))
         columns = list(zip(*out, strict=True)) or [[]] * 6
-        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:4]], *[pa.array(c, pa.int32()) for c in columns[4:]]], names=["core", "k1", "k2", "code", "lo", "hi"])
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.int32())], names=["core", "k1", "k2", "code", "place", "cells"])
+
+
+def _own(place: np.ndarray, k1: int, k2: int) -> np.ndarray:
+    """A name of each entry itself."""
+    return _mix(_mix((place >> 16).astype(np.uint64) + np.uint64(k2 & (1 << 64) - 1)) + np.uint64(k1 & (1 << 64) - 1))
+
+
+def _name_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names of what the windows of a cell share, for the cells of a core that are open; ``open`` where they are so in this entry."""
+    bit = np.arange(REACH // CELL + 1)
+    for b in batches:
+        for k1, k2, raw, due in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+            text, (place, cells, mine) = raw.as_py(), (due.values.field(k).to_numpy() for k in range(3))
+            most, least = place >> 8 & 255, place & 255
+            entry, cell = np.nonzero((cells[:, None] >> bit & 1 == 1) & (least[:, None] < (bit + 1) * CELL) & (most[:, None] >= bit * CELL))
+            t, n = place[entry] >> 16, len(entry)
+            lo, hi = np.maximum(least[entry], cell * CELL), np.minimum(most[entry], cell * CELL + CELL - 1)
+            one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+            for here, h, at in _pieces(text, t):
+                start = t[here] - at - cell[here] * CELL
+                one[here], two[here] = (_mix(h.of(k, start, start + WIDTH - CELL + 1) + cell[here].astype(np.uint64)) for k in (0, 1))
+            code = (t << 16 | hi << 8 | lo) << 3 | np.where(mine[entry] >> cell & 1, ONE, MANY)
+            yield pa.RecordBatch.from_arrays([_longs(one), _longs(two), pa.array(np.full(n, k1)), pa.array(np.full(n, k2)), _longs(code), _longs(_own(place, k1, k2)[entry]), pa.array(mine[entry] >> cell & 1 == 1)], names=["w1", "w2", "k1", "k2", "code", "own", "open"])
 
 
 def _name_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +386,7 @@ def _name_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for k1, k2, raw, codes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
             place, kind = _listed(codes)
             block, start, one, two = window_names(raw.as_py(), place)
-            own = _mix(_mix((place >> 16).astype(np.uint64) + np.uint64(k2 & (1 << 64) - 1)) + np.uint64(k1 & (1 << 64) - 1))
+            own = _own(place, k1, k2)
             n = len(start)
             yield pa.RecordBatch.from_arrays([_longs(one), _longs(two), pa.array(np.full(n, k1)), pa.array(np.full(n, k2)), _longs(start), _longs(own[block]), pa.array(kind[block] == ONE)], names=["w1", "w2", "k1", "k2", "start", "own", "open"])
 
@@ -427,15 +453,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     entries = cut(texts.mapInArrow(_entries, ENTRY), "entries")
     seen = _in_order(entries, "right", "left").unionByName(_in_order(entries, "left", "right"))
     each = seen.groupBy("core", "k1", "k2", "place", "kind").agg(F.max("a").alias("a"), F.max("b").alias("b"), F.flatten(F.collect_list("shared")).alias("shared"))
-    judged = cut(each.mapInArrow(_judge, "core long, k1 long, k2 long, code long, lo int, hi int"), "judged")
-
-    open_cores = cut(judged.where("lo is not null").groupBy("core").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "open")
-    due = entries.select("core", "k1", "k2", "place", "kind").join(open_cores, "core")
-    due = due.withColumn("most", F.least(F.expr("shiftright(place, 8) & 255"), "hi")).withColumn("least", F.greatest(F.expr("place & 255"), "lo")).where("least <= most")
-    left = due.select("k1", "k2", F.expr("(shiftleft(shiftright(place, 16), 16) + most * 256 + least) * 8 + kind").alias("code")).groupBy("k1", "k2").agg(F.collect_set("code").alias("codes"))
-    named = texts.drop("codes").join(left, ["k1", "k2"]).mapInArrow(_name_windows, "w1 long, w2 long, k1 long, k2 long, start long, own long, open boolean")
-    repeated = named.groupBy("w1", "w2").agg(F.min("own").alias("x"), F.max("own").alias("y"), F.max("open").alias("open")).where("x <> y and open").select("w1", "w2")
-    windows = named.where("open").join(repeated, ["w1", "w2"]).select("k1", "k2", F.expr(f"shiftleft(start, 19) + {WITHIN}").alias("code"))
+    judged = cut(each.mapInArrow(_judge, "core long, k1 long, k2 long, code long, place long, cells int"), "judged")
+
+    mine = judged.where("cells > 0").select("core", "k1", "k2", "place", F.col("cells").alias("mine"))
+    open_cores = cut(mine.groupBy("core").agg(F.bit_or("mine").alias("cells")), "open")
+    due = entries.select("core", "k1", "k2", "place").join(open_cores, "core").join(mine, ["core", "k1", "k2", "place"], "left")
+    due = due.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "cells", F.coalesce("mine", F.lit(0)).alias("mine"))).alias("due"))
+    shared = lambda named: named.groupBy("w1", "w2").agg(F.min("own").alias("x"), F.max("own").alias("y"), F.max("open").alias("open")).where("x <> y and open").select("w1", "w2")
+    cells = cut(texts.drop("codes").join(due, ["k1", "k2"]).mapInArrow(_name_cells, "w1 long, w2 long, k1 long, k2 long, code long, own long, open boolean"), "cells")
+    left = cells.join(shared(cells), ["w1", "w2"]).groupBy("k1", "k2").agg(F.collect_set("code").alias("codes"))
+    named = cut(texts.drop("codes").join(left, ["k1", "k2"]).mapInArrow(_name_windows, "w1 long, w2 long, k1 long, k2 long, start long, own long, open boolean"), "windows")
+    windows = named.where("open").join(shared(named), ["w1", "w2"]).select("k1", "k2", F.expr(f"shiftleft(start, 19) + {WITHIN}").alias("code"))
 
     more = judged.where("code is not null").select("k1", "k2", "code").unionByName(windows).groupBy("k1", "k2").agg(F.collect_set("code").alias("more"))
     cleaned = touched.join(more, ["k1", "k2"], "left").select("id", "raw", "codes", "more").mapInArrow(_strip, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, passage_words long")

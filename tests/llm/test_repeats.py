@@ -106,3 +106,22 @@ def test_one_passage_in_front_of_many_texts(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got == dict(enumerate(brute(texts)))
+
+
+def test_open_windows_name_few_others(spark, monkeypatch):
+    """Entries of a large group are named by cells; single windows only where an open one may have an equal."""
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8))) for _ in range(n))
+    before, after = prose(60), prose(80)
+    texts = [prose(60) + before[-60:] + after[:240] + prose(60) for _ in range(200)]  # less than a window in common
+    for _ in range(40):  # how much is shared on one side says nothing of the other side
+        x, y = rng.randint(20, 260), rng.randint(100, 380)
+        texts.append(prose(1) + before[-x:] + after[:y] + prose(2))
+    kept, cut = {}, R.cut
+    monkeypatch.setattr(R, "cut", lambda df, tag: kept.setdefault(tag, []).append(cut(df, tag)) or kept[tag][-1])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in R.remove_repeats(spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert got == dict(enumerate(brute(texts)))
+    opened = {r.core: r.cells for r in kept["open"][0].collect()}
+    every = sum(opened[r.core] >> x // R.CELL & 1 for r in kept["entries"][0].collect() if r.core in opened for x in range(r.place & 255, (r.place >> 8 & 255) + 1))
+    named = kept["cells"][0].count(), kept["windows"][0].count()
+    assert opened and every > 2000 and 0 < sum(named) * 2 < every, (every, named)
