@@ -206,14 +206,19 @@ def _count_gain(words: list[bytes], lang: str, tail: int, bits: np.ndarray, old:
     some = fresh(word_hash)[ids]  # whether a new phrase lies in the k words from i
     real = ids > 0
     in_now, in_old = _within(bits, word_hash)[ids] & real, _within(old, word_hash)[ids] & real
+    able = in_now  # where all words of the parts that were joined last are in ``bits``
     for k in range(2, longest + 1):
         if len(ids) < k:
             return
         some = some[:-1] | some[1:]
         at = np.flatnonzero(some)
         if k > 2:  # parts of k - 1 words and less; those of one word are known at all places
-            level.append(_joined(level[-1][:-1], by_word[k - 2 :]))
-            new = fresh(level[-1])
+            able = able[:-1] & in_now[k - 2 :]
+            place = np.flatnonzero(able)  # a part with a word outside ``bits`` makes no phrase count
+            part, new = np.zeros(len(able), np.uint64), np.zeros(len(able), bool)
+            part[place] = _joined(level[-1][place], by_word[place + k - 2])
+            new[place] = fresh(part[place])
+            level.append(part)
             some = some | new[:-1] | new[1:]
             at = np.flatnonzero(some)
         now, before = np.ones(len(at), bool), np.ones(len(at), bool)

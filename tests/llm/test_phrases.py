@@ -140,3 +140,21 @@ def test_query_against_sql(spark, sf):
     order = [[d[0] for d in want.description].index(c) for c in COLUMNS]
     got = told(QUERIES["op13_phrase_collocations"](spark, at))
     assert got and got == sorted(tuple(r[i] for i in order) for r in want.fetchall())
+
+
+def test_further_passes_join_only_parts_whose_words_are_known(monkeypatch):
+    rng = np.random.default_rng(3)
+    known = [b"a", b"b", b"c"]
+    words = [known[rng.integers(3)] if rng.random() < 0.3 else b"rare%d" % rng.integers(500) for _ in range(4000)] + [b"\xff"]
+    h = P._word_hashes("en", known)
+    old, gain = (np.zeros(1 << 13, np.uint8) for _ in range(2))
+    for bits, hashes in ((old, h), (gain, P._joined(h[:2], h[1::-1]))):
+        for spot in P._spots(hashes, len(bits) * 8):
+            np.bitwise_or.at(bits, (spot >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (spot & np.uint64(7)).astype(np.uint8)))
+    now = old | gain
+    tell = lambda found: sorted((k, x, n) for k, p, c in found for x, n in zip(p.to_pylist(), c.tolist()))
+    want = tell(P._count_block("en", list(words), 0, now, old, False))
+    sizes, joined = [], P._joined
+    monkeypatch.setattr(P, "_joined", lambda first, word: sizes.append(len(first)) or joined(first, word))
+    assert tell(P._count_gain(list(words), "en", 0, now, old, now & ~old)) == want and want
+    assert sum(sizes) < len(words)  # three joins of all places before
