@@ -21,15 +21,15 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from bisect import bisect_right, insort
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,24 +37,36 @@ from pyspark.sql.window import Window
 from lineloom.storage import cut
 
 WINDOW, END, ROWS, LANES = 2048, 1, 8192, 64
-#: Triples of lengths that are tried, sweeps of the solver, cached words, bytes encoded at once.
+#: Triples of lengths that are tried, sweeps of the solver, cached parts of words, bytes encoded at once.
 TRIPLES, SWEEPS, CACHE, BLOCK = 8192, 40, 600_000, 4 << 20
 
 _encoders: dict[str, Encoder] = {}
-#: Printable ASCII without contractions and added tokens, and how the file cuts it in lower case.
-_PRINTABLE, _PARTS = re.compile(rb"(?:[!-&(-;=-~])+"), re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Letters after lower-casing, words that can be cut here, and what the file cuts from the letters around it. NFC leaves
+#: all these characters alone; ``<`` is left out, as added tokens begin with it.
+_LETTERS = "a-zß-öø-ÿœ"
+_PLAIN = "^[!-;=-~À-ÖØ-öø-ÿŒœ¡«»¿–—‘’“”…]*$"
+_CUT = f"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^{_LETTERS}0-9]+"
+
+
+def _joined(raw: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The entries of ``raw`` in runs, joined; a run is from one of ``ends`` up to the next."""
+    _, offsets, data = raw.buffers()
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(np.frombuffer(offsets, np.int64)[ends]), data])
 
 
 class Encoder:
-    """Ids of a tokenizers file as raw unsigned integers, with a bounded cache from words to ids.
+    """Ids of a tokenizers file as raw unsigned integers, with a bounded cache from words and parts of words to ids.
 
     Texts are cut at ASCII white space where the file's own rules drop white space and
-    never look across it; any other file gets whole texts.
+    never look across it, and each distinct word of a call is looked at once. Words of
+    Latin letters are lower-cased and cut into parts as the file cuts them; only parts
+    that are new go to the library's model, many in a call. Other new words go to the
+    library as they are, and texts of any other file go whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
@@ -68,7 +80,16 @@ class Encoder:
         added = spec.get("added_tokens", [])
         self.cuts = normal == known and pre == [("Split", "Removed", True, None, None), ("ByteLevel", None, None, False, False)] and patterns[0] == pattern
         self.cuts = self.cuts and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"]) for t in added)
-        self.known: dict[bytes, bytes] = {}
+        self.cuts = self.cuts and all(t["content"].startswith("<") for t in added)
+        #: A part's last id is known by its suffix, so every byte must have ids with and without one.
+        suffix, vocab = spec["model"].get("end_of_word_suffix"), spec["model"].get("vocab")
+        self.cuts = self.cuts and bool(suffix) and all(c in vocab and c + suffix in vocab for c in pre_tokenizers.ByteLevel.alphabet())
+        if self.cuts:
+            self.last = np.zeros(self.library.get_vocab_size(), bool)
+            self.last[[k for t, k in vocab.items() if t.endswith(suffix)]] = True
+            self.model = Tokenizer(self.library.model)
+            self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.known: dict[str, bytes] = {"": b""}  # a word that isn't plain is no plain word's part
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -76,43 +97,60 @@ class Encoder:
             out += [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False)]
         return out
 
-    def _learn(self, new: set[bytes]) -> None:
-        """Adds words. One of printable ASCII is cut as the file cuts it, and its parts go to the library's model."""
-        parts = {w: _PARTS.findall(w.lower()) for w in new if _PRINTABLE.fullmatch(w)}
-        todo, rest = set(chain.from_iterable(parts.values())).difference(self.known), [w for w in new if w not in parts]
-        kind, tokenize = {2: "H", 4: "I"}[self.width], self.library.model.tokenize
-        self.known.update((w, array(kind, [t.id for t in tokenize(w.decode())]).tobytes()) for w in todo)
-        self.known.update((w, b"".join(map(self.known.__getitem__, p))) for w, p in parts.items())
-        self.known.update(zip(rest, self._raw([w.decode() for w in rest]), strict=True))
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts of words, many in a call."""
+        out = []
+        for at in range(0, len(parts), 1024):
+            some = parts[at : at + 1024]
+            ids = np.array(self.model.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            raw, ends = ids.tobytes(), ((np.flatnonzero(self.last[ids]) + 1) * self.width).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer ends a part of a word without its suffix")
+            out += [raw[a:b] for a, b in pairwise([0, *ends])]
+        return out
 
     def _trim(self) -> None:
-        """Makes room: long words go first, as they are the rare ones."""
+        """Makes room: long keys go first, as they are the rare ones."""
         for most in (9, 6, 0):
             if len(self.known) > CACHE // 2:
                 for w in [w for w in self.known if len(w) > most]:
                     del self.known[w]
 
+    def _look_up(self, keys: list[str], ask: Callable[[list[str]], list[bytes]]) -> pa.Array:
+        """The ids of distinct words or parts; those of new ones are asked for."""
+        ids = list(map(self.known.get, keys))
+        if None in ids:
+            new = [w for w, x in zip(keys, ids, strict=True) if x is None]
+            self.known.update(zip(new, ask(new), strict=True))
+            ids = list(map(self.known.__getitem__, keys))
+            for w in new:
+                if len(w) > 64:
+                    self.known.pop(w)
+        return pa.array(ids, pa.large_binary())
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        parts = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), _CUT, r" \0 "))
+        coded = parts.flatten().dictionary_encode()
+        ids = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._parts)
+        ids = _joined(ids.take(coded.indices), parts.offsets.to_numpy())
+        plain = plain.to_numpy(zero_copy_only=False)
+        if plain.all():
+            return ids
+        rest = self._look_up(words.filter(pa.array(~plain)).to_pylist(), self._raw)
+        place = np.where(plain, np.cumsum(plain), len(ids) + np.cumsum(~plain)) - 1
+        return pa.concat_arrays([ids, rest]).take(pa.array(place))
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as bytes of this encoder's width."""
-        if not self.cuts:
+        if not self.cuts or not texts:
             return self._raw([t.decode() for t in texts])
         if len(self.known) > CACHE:
             self._trim()
-        words = [t.split() for t in texts]
-        flat = list(chain.from_iterable(words))
-        ids = list(map(self.known.get, flat))
-        if None in ids:
-            unknown = {w for w, x in zip(flat, ids, strict=True) if x is None}
-            self._learn(unknown)
-            ids = list(map(self.known.__getitem__, flat))
-            for w in unknown:
-                if len(w) > 64:
-                    self.known.pop(w)
-        out, at = [], 0
-        for w in words:
-            out.append(b"".join(ids[at : at + len(w)]))
-            at += len(w)
-        return out
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        return _joined(self._words(coded.dictionary).take(coded.indices), words.offsets.to_numpy()).to_pylist()
 
 
 def encoder(path: str) -> Encoder:
