@@ -15,6 +15,9 @@ for a whole dataset. Datasets become folders, so they should be few.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +25,8 @@ from pyspark.sql.window import Window
 from lineloom.storage import new_path, path_of, remove
 
 WIDTH = 4096
+#: Ranges in one condition: the chain that hundreds make is too deep for the driver's stack, and their code too long for the JVM.
+NAMED = 48
 _LINES, _COUNTERS = "line_number long, text string, key string, batch int", "part long, first long, n long, key string, batch int"
 
 
@@ -34,6 +39,25 @@ def _dataset() -> Column:
     return F.when(F.col("key") != "n", F.decode(F.unhex(F.substring("key", 2, (1 << 31) - 1)), "UTF-8")).alias("dataset")
 
 
+def _apart(ranges: list[tuple]) -> list[tuple]:
+    """The ranges (key, lo, hi) in order, those that meet as one."""
+    found: list[tuple] = []
+    for key, lo, hi in sorted(ranges):
+        if found and found[-1][0] == key and lo <= found[-1][2] + 1:
+            found[-1] = (key, found[-1][1], max(hi, found[-1][2]))
+        elif lo <= hi:
+            found.append((key, lo, hi))
+    return found
+
+
+def _within(ranges: list[tuple]) -> Column:
+    """Whether a line is in one of the ranges (key, lo, hi); a key is named once."""
+    of: dict[str, list[Column]] = {}
+    for key, lo, hi in ranges:
+        of.setdefault(key, []).append(F.col("line_number").between(lo, hi))
+    return reduce(or_, [(F.col("key") == key) & reduce(or_, own) for key, own in of.items()])
+
+
 class LineStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -67,14 +91,13 @@ class LineStore:
     def lines(self, ranges: DataFrame | None = None) -> DataFrame:
         """``(dataset, line_number, text)``; of ``ranges`` (dataset, lo, hi), some hundreds at most, only those numbers.
 
-        Datasets choose folders and numbers choose row groups, before anything is read.
+        Datasets choose folders and numbers choose row groups, before anything is read;
+        each ``NAMED`` ranges are a scan.
         """
         rows = self._committed("lines", _LINES)
         if ranges is not None:
-            wanted = F.lit(False)
-            for r in ranges.select(_key(F.col("dataset")).alias("key"), "lo", "hi").where("lo is not null").collect():
-                wanted = wanted | ((F.col("key") == r.key) & F.col("line_number").between(r.lo, r.hi))
-            rows = rows.where(wanted)
+            apart = _apart(ranges.select(_key(F.col("dataset")).alias("key"), "lo", "hi").where("lo is not null").collect())
+            rows = reduce(DataFrame.unionByName, [rows.where(_within(apart[at : at + NAMED])) for at in range(0, len(apart), NAMED)] or [rows.limit(0)])
         return rows.select(_dataset(), "line_number", "text")
 
     def _write(self, records: DataFrame, batch: int, bases: DataFrame | None, width: int) -> None:

@@ -101,6 +101,15 @@ def test_files_are_sorted_and_scans_are_pruned(spark, tmp_path):
     assert re.search(r"PartitionFilters: .*key", plan) and re.search(r"PushedFilters: .*line_number,10", plan) and plan.count("Scan parquet") == 2 and "Exchange" not in plan
 
 
+def test_hundreds_of_ranges(spark, tmp_path):
+    """Apart, next to each other, one in another, empty and of a dataset that isn't there."""
+    store = LineStore(spark, str(tmp_path / "s"))
+    store.append(spark.createDataFrame([(d, i, 0, [f"{d} {i}"]) for d in ("a", "b") for i in range(4000)], RECORDS).repartition(3), 500)
+    ranges = [(d, n, n + n % 4) for d in ("a", "b") for n in range(3, 4000, 8)] + [("a", 7, 30), ("a", 31, 33), ("a", 20, 25), ("b", 9, 8), ("none", 1, 5), ("b", None, None)]
+    found = rows_of(store.lines(spark.createDataFrame(ranges, "dataset string, lo long, hi long")))
+    assert found == [(True, d, n, f"{d} {n - 1}") for d in ("a", "b") for n in sorted({n for of, lo, hi in ranges if of == d and lo for n in range(lo, min(hi, 4000) + 1)})]
+
+
 @pytest.mark.parametrize("name", ["doc_lines", "line_hash", "event_lines", "turn_lines"])
 def test_line_queries_are_one_scan(spark, name):
     df = QUERIES[name](spark, DIR)
