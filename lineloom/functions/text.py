@@ -6,12 +6,16 @@ All of them are built-in expressions and stay inside generated code.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The line terminators of the line contract.
-TERMINATORS = "\\r\\n|[\\n\\r\\x0B\\x0C\\x1C\\x1D\\x1E\\x85\\u2028\\u2029]"
+ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+#: One of them, or both characters of ``\\r\\n``. It begins with a single class, so other characters are passed over in one step.
+TERMINATORS = "[\\n\\r\\x0B\\x0C\\x1C\\x1D\\x1E\\x85\\u2028\\u2029](?:(?<=\\r)\\n)?"
 #: Keywords that make a line salient, in order of preference.
 SALIENT = ("error", "fatal", "warn", "fail", "exception", "timeout", "retry", "reconnect", "recover", "corrected", "terminat", "clos", "expir", "disconnect", "denied", "invalid", "looking", "following", "leading")
 #: First characters that a spreadsheet would read as a formula.
@@ -20,9 +24,9 @@ FORMULA_STARTS = ("=", "+", "-", "@", "\t", "\r")
 
 def split_lines(text: Column) -> Column:
     """Lines of a text: interior blank lines stay, no empty last line, none for an empty or null text."""
-    parts = F.split(text, TERMINATORS, -1)
-    cut = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(cut)
+    ended = reduce(or_, [F.endswith(text, F.lit(end)) for end in ENDS])
+    body = F.when(F.endswith(text, F.lit("\r\n")), F.left(text, F.length(text) - 2)).when(ended, F.left(text, F.length(text) - 1)).otherwise(text)  # so the text is split once
+    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(body, TERMINATORS, -1))
 
 
 def decode(content: Column) -> Column:
