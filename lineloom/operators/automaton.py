@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from lineloom.storage import Cut
 
-#: Bytes of literals in one automaton, and specs counted as at least so many bytes.
-PART, LEAST = 8 << 20, 32
+#: Bytes of literals in one automaton, and specs counted as at least so many bytes. An automaton over runs, whose tasks hold little else, has so many times that.
+PART, LEAST, RUNS_PART = 8 << 20, 32, 3
 #: Bytes of text that are looked at together, bytes of runs that are put together, and counts that a task holds at most.
 PIECE, CHUNK, HELD = 4 << 20, 24 << 20, 1 << 20
 #: Whose runs they are: of texts whose lower case differs in A-Z alone, of other texts, and of these in lower case.
@@ -44,7 +44,7 @@ class _Machines:
     """Two automata over specs (dataset, spec_id, sought, exact, literal): of literals whose case counts, and of the others."""
 
     def __init__(self, specs: list[tuple]):
-        self.ids, self.literals = (pa.array([s[n] for s in specs], pa.string()) for n in (1, 4))
+        self.ids, self.sought, self.literals = (pa.array([s[n] for s in specs], pa.string()) for n in (1, 2, 4))
         self.datasets = {d: at for at, d in enumerate({s[0] for s in specs if s[0] is not None})}
         self.of = np.array([self.datasets.get(s[0], -1) for s in specs], np.int64)  # -1: all datasets
         self.kinds = [self._kind([(s[2], at) for at, s in enumerate(specs) if s[3] == exact]) for exact in (True, False)]
@@ -181,12 +181,12 @@ def _sought(specs: DataFrame) -> DataFrame:
     return specs.where("literal is not null").select("dataset", "spec_id", F.when(exact, F.col("literal")).otherwise(F.lower("literal")).alias("sought"), exact.alias("exact"), "literal")
 
 
-def _n_parts(given: DataFrame) -> int:
-    return -(-(given.agg(F.sum(F.octet_length("sought") + LEAST)).first()[0] or 0) // PART)
+def _n_parts(given: DataFrame, each: int) -> int:
+    return -(-(given.agg(F.sum(F.octet_length("sought") + LEAST)).first()[0] or 0) // each)
 
 
 def _parts(given: DataFrame, parts: int) -> Iterator[tuple]:
-    """The specs of each part, about ``PART`` bytes, for the tasks, and a name that no other has."""
+    """The specs of each part, for the tasks, and a name that no other has."""
     for part in range(parts):
         own = given.where(F.pmod(F.xxhash64("spec_id", "sought"), F.lit(parts)) == part).collect() if parts > 1 else given.collect()
         yield given.sparkSession.sparkContext.broadcast([tuple(r) for r in own]), uuid.uuid4().hex
@@ -206,7 +206,7 @@ def many_matches(lines: DataFrame, specs: DataFrame) -> DataFrame:
     spec, however often it holds it.
     """
     given = _sought(specs)
-    if not (parts := _n_parts(given)):
+    if not (parts := _n_parts(given, PART)):
         return lines.sparkSession.createDataFrame([], _MATCHES)
     return reduce(DataFrame.unionByName, [_cased(lines).mapInArrow(_finder(*part), _MATCHES) for part in _parts(given, parts)])
 
@@ -214,7 +214,7 @@ def many_matches(lines: DataFrame, specs: DataFrame) -> DataFrame:
 def many_counts(lines: DataFrame, specs: DataFrame) -> DataFrame:
     """``(dataset, spec_id, literal, n, first_line, last_line)`` of all specs that a dataset has lines for: the rows of ``many_matches``, counted, in one scan whatever the number of specs."""
     given = _sought(specs)
-    if not (parts := _n_parts(given)):
+    if not (parts := _n_parts(given, PART)):
         return lines.sparkSession.createDataFrame([], _COUNTS)
     if parts == 1:
         counts = _cased(lines).mapInArrow(_counter(*next(_parts(given, 1))), _COUNTS)
@@ -326,7 +326,7 @@ def _run_finder(held, number: str):
                 runs = b.column(1).take(pa.array(chosen)).to_pylist()
                 row, at = machines.find(low, [r.lower() for r in runs] if low else runs)
                 take = pa.array(chosen[row])
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.full(len(row), not low)), machines.literals.take(pa.array(at))], names=["kind", "run", "exact", "sought"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.full(len(row), not low)), machines.sought.take(pa.array(at))], names=["kind", "run", "exact", "sought"])
 
     return run
 
@@ -342,8 +342,8 @@ def _counts_by_runs(lines: DataFrame, given: DataFrame) -> DataFrame:
         alphabets[PLAIN] = bytes(set(low + low.upper() + alphabets.get(GIVEN, (b"", 0))[0])), min(least for _, least in alphabets.values())
     runs = Cut(_cased(lines).mapInArrow(_runs(alphabets), _RUNS), "runs").df
     each = Cut(runs.select("kind", "run").distinct(), "each").df
-    terms = sought.select(F.lit(None).cast("string").alias("dataset"), F.lit("").alias("spec_id"), "sought", "exact", F.col("sought").alias("literal"))
-    has = reduce(DataFrame.unionByName, [each.mapInArrow(_run_finder(*part), "kind int, run binary, exact boolean, sought string") for part in _parts(terms, max(1, _n_parts(terms)))])
+    terms = sought.select(F.lit(None).cast("string").alias("dataset"), F.lit("").alias("spec_id"), "sought", "exact", F.lit("").alias("literal"))
+    has = reduce(DataFrame.unionByName, [each.mapInArrow(_run_finder(*part), "kind int, run binary, exact boolean, sought string") for part in _parts(terms, max(1, _n_parts(terms, RUNS_PART * PART)))])
     met = runs.join(has.hint("merge"), ["kind", "run"]).groupBy("exact", "sought", "dataset", "chunk").agg(F.size(F.array_distinct(F.flatten(F.collect_list("rows")))).cast("long").alias("n"), F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line"))
     found = met.groupBy("exact", "sought", "dataset").agg(F.sum("n").alias("n"), F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line"))
     if held.where("sought = ''").limit(1).count():
