@@ -15,7 +15,7 @@ rows that have the run.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import chain
 
@@ -43,13 +43,16 @@ _built: dict[str, "_Machines"] = {}
 class _Machines:
     """Two automata over specs (dataset, spec_id, sought, exact, literal): of literals whose case counts, and of the others."""
 
-    def __init__(self, specs: list[tuple]):
-        self.ids, self.sought, self.literals = (pa.array([s[n] for s in specs], pa.string()) for n in (1, 2, 4))
-        self.datasets = {d: at for at, d in enumerate({s[0] for s in specs if s[0] is not None})}
-        self.of = np.array([self.datasets.get(s[0], -1) for s in specs], np.int64)  # -1: all datasets
-        self.kinds = [self._kind([(s[2], at) for at, s in enumerate(specs) if s[3] == exact]) for exact in (True, False)]
+    def __init__(self, specs: pa.Table):
+        self.ids, self.sought, self.literals = (specs.column(name).cast(pa.string()).combine_chunks() for name in ("spec_id", "sought", "literal"))
+        datasets = specs.column("dataset").combine_chunks()
+        self.datasets = {d: at for at, d in enumerate(datasets.unique().drop_null().to_pylist())}
+        self.of = _codes(datasets, {**self.datasets, None: -1})  # -1: all datasets
+        exact = specs.column("exact").combine_chunks()
+        places = [np.flatnonzero(pc.equal(exact, of).to_numpy(zero_copy_only=False)) for of in (True, False)]
+        self.kinds = [self._kind(zip(self.sought.take(pa.array(own)).to_pylist(), own.tolist(), strict=True)) for own in places]
 
-    def _kind(self, own: list[tuple]):
+    def _kind(self, own: Iterable[tuple]):
         """The automaton (none, if there is nothing to look for), where the specs of its literals begin, these specs, and those with an empty literal, which every line holds."""
         import ahocorasick
 
@@ -188,8 +191,8 @@ def _n_parts(given: DataFrame, each: int) -> int:
 def _parts(given: DataFrame, parts: int) -> Iterator[tuple]:
     """The specs of each part, for the tasks, and a name that no other has."""
     for part in range(parts):
-        own = given.where(F.pmod(F.xxhash64("spec_id", "sought"), F.lit(parts)) == part).collect() if parts > 1 else given.collect()
-        yield given.sparkSession.sparkContext.broadcast([tuple(r) for r in own]), uuid.uuid4().hex
+        own = given.where(F.pmod(F.xxhash64("spec_id", "sought"), F.lit(parts)) == part) if parts > 1 else given
+        yield given.sparkSession.sparkContext.broadcast(own.toArrow()), uuid.uuid4().hex
 
 
 def _cased(lines: DataFrame) -> DataFrame:
